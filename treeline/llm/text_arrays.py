@@ -13,7 +13,7 @@ from functools import cache
 import numpy as np
 
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 500_000
 
 #: The code points with the Unicode property White_Space.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]

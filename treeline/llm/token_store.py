@@ -23,6 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -37,7 +38,8 @@ MAGIC = b"TLSST001"
 FOOTER = struct.Struct("<8sQQQQQQQ")  # magic; index offset, length; filter offset, length; rows; tokens; width
 BLOCK_BYTES = 64 << 10
 FILTER_BITS, FILTER_HASHES = 10, 7
-KEPT_IDS = 3_000_000  #: token ids of pre-tokens that a worker remembers
+KEPT_IDS = 1_500_000  #: token ids of pre-tokens that a worker remembers
+ENCODED_AT_ONCE = 4_096  #: pre-tokens whose encodings the library holds at once
 MANIFEST = "shard int, path string, n_docs long, n_tokens long"
 
 
@@ -201,10 +203,13 @@ class Encoder:
         known = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
         new = np.flatnonzero(~known)
         if len(new):
-            found = [e.ids for e in self.library.encode_batch_fast([tokens.text(i) for i in one[new]], add_special_tokens=False)]
+            found = []
+            for first in range(0, len(new), ENCODED_AT_ONCE):
+                some = [tokens.text(i) for i in one[new[first : first + ENCODED_AT_ONCE]]]
+                found += [np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(some, add_special_tokens=False)]
             size = np.array([len(x) for x in found], np.int64)
             begin = len(self.flat) + np.cumsum(size) - size
-            self.flat = np.append(self.flat, np.array([x for ids in found for x in ids], np.uint32))
+            self.flat = np.concatenate([self.flat, *found])
             all_keys = np.append(self.keys, keys[new])
             order = np.argsort(all_keys)
             self.keys, self.begin, self.size = all_keys[order], np.append(self.begin, begin)[order], np.append(self.size, size)[order]
@@ -237,7 +242,7 @@ def write_shards(docs: DataFrame, vocabulary: str, end_id: int | None = 2, text:
         def chunks() -> Iterator[bytes]:
             last, nth = object(), 0
             for batch in batches:
-                for part in slices([len(t) for t in batch["t"].to_pylist()]):
+                for part in slices(pc.binary_length(batch["t"]).to_pylist()):
                     for k, ids in zip(batch["k"][part].to_pylist(), encoder.texts(batch["t"][part].to_pylist()), strict=True):
                         last, nth = k, nth + 1 if k == last else 0
                         yield writer.add(key_of(k, nth), np.append(ids, np.array(tail, np.uint32)))
