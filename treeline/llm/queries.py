@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, jaccard_join, language_id, mixing, pii, token_counts, token_store, warc
+from . import ann, decontaminate, jaccard_join, language_id, mixing, pii, suffix_dedup, token_counts, token_store, warc
 from .shared_store import importable
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -26,6 +26,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.withColumnsRenamed({"__mix_copy": "copy", "__mix_n": "n_copies"})
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.write_archives(_table(spark, sf_dir, "pages"), min_revisit_bytes=0)
     return warc.read_records(index).select(F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -64,6 +68,7 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ann": op1_ann,
     "op2_mixing": op2_mixing,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_warc": op4_warc,
     "op5_pii": op5_pii,
     "op6_jaccard_join": op6_jaccard_join,
