@@ -8,8 +8,8 @@ A record whose payload a record with a smaller id has, is written as a revisit:
 one and holds no payload, its HTTP header keeps the payload's length.
 
 Edge cases: a null payload is an empty one; a null URL is written as ``urn:page:<id>``, a null id as
-``null``. Rows that repeat an id are all written; of equal payloads, exactly one row with the smallest id is
-the response. An empty table gives no archives and an empty index. Very long payloads are written whole.
+``null``. Rows that repeat an id are all written; of equal payloads, every row with the smallest id is a
+response. An empty table gives no archives and an empty index. Very long payloads are written whole.
 """
 
 from __future__ import annotations
@@ -27,18 +27,18 @@ from pyspark.sql import functions as F
 from .shared_store import new_folder, open_file, put_file, written
 
 GAP, SPAN = 64 << 10, 8 << 20  #: ranges at most GAP apart are read together, up to SPAN bytes
-INDEX = "record_id long, nth long, file string, offset long, length long, url string, digest string, record_type string"
+INDEX = "record_id long, file string, offset long, length long, url string, digest string, record_type string"
 STAMP = "2000-01-01T00:00:00Z"  #: records are dated so, that a repeated task writes the same bytes
 
 
-def _record(page_id, url: str, payload: bytes, digest: str, first: int | None, first_url: str | None, nth: int) -> bytes:
+def _record(page_id, url: str, payload: bytes, digest: str, first: int | None, first_url: str | None) -> bytes:
     revisit = first_url is not None
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if revisit else http + payload
     head = [
-        "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <urn:page:{page_id}:{nth}>", f"WARC-Date: {STAMP}",
+        "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <urn:page:{page_id}>", f"WARC-Date: {STAMP}",
         f"WARC-Target-URI: {url}", f"WARC-Payload-Digest: sha1:{digest}",
-        *((f"WARC-Refers-To: <urn:page:{first}:0>", f"WARC-Refers-To-Target-URI: {first_url}", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest") if revisit else ()),
+        *((f"WARC-Refers-To: <urn:page:{first}>", f"WARC-Refers-To-Target-URI: {first_url}", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest") if revisit else ()),
         "Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}",
     ]
     return ("\r\n".join(head) + "\r\n\r\n").encode("utf-8", "replace") + block + b"\r\n\r\n"
@@ -55,7 +55,7 @@ def parse(record: bytes) -> dict:
 
 
 def write_archives(pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html", min_revisit_bytes: int = 0) -> DataFrame:
-    """Write archives in order of ids; returns the index, a written table. Payloads of fewer than ``min_revisit_bytes`` bytes are never revisits."""
+    """Write archives; returns the index, a written table. Payloads of fewer than ``min_revisit_bytes`` bytes are never revisits."""
     spark = pages.sparkSession
     folder = new_folder(spark, "warc")
     body = F.coalesce(F.col(payload), F.lit("")).cast("binary")
@@ -65,29 +65,25 @@ def write_archives(pages: DataFrame, key: str = "page_id", url: str = "url", pay
     firsts = slim.groupBy("d").agg(F.min(F.struct(F.col("k").isNull().alias("n"), "k", "u")).alias("f"), F.count("*").alias("copies")).filter("copies > 1")
     # The join below may be skewed on its left side; each match is one row, so Spark's skew join splits it.
     marked = slim.join(firsts.select(F.col("d"), F.col("f.k").alias("fk"), F.col("f.u").alias("fu"), F.lit(True).alias("again")), "d", "left")
-    ordered = marked.repartitionByRange(F.col("k").asc_nulls_first()).sortWithinPartitions(F.col("k").asc_nulls_first(), "u", "d")
+    # The rows stay where the join put them: a second shuffle of the payloads would only order the archives.
+    ordered = marked.sortWithinPartitions(F.col("k").asc_nulls_first(), "u", "d")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, index = f"part-{TaskContext.get().partitionId():06d}.warc.gz", []
 
         def chunks() -> Iterator[bytes]:
-            at, last, nth, done = 0, object(), 0, set()
+            at = 0
             for batch in batches:
                 for row in batch.to_pylist():
-                    last, nth = row["k"], nth + 1 if row["k"] == last else 0
-                    data, raw = row["b"], bytes.fromhex(row["d"])
-                    digest = base64.b32encode(raw).decode()
-                    # Rows of the smallest id may repeat: they are neighbours here, and the first of them is the response.
-                    lead = not row["again"] or len(data) < min_revisit_bytes or (row["k"] == row["fk"] and raw not in done)
-                    if row["k"] == row["fk"]:
-                        done = done | {raw} if nth else {raw}
-                    record = gzip.compress(_record("null" if row["k"] is None else row["k"], row["u"], data, digest, None if lead else row["fk"], None if lead else row["fu"], nth), 6, mtime=0)
-                    index.append((row["k"], nth, f"{folder}/{name}", at, len(record), row["u"], digest, "response" if lead else "revisit"))
+                    data, digest = row["b"], base64.b32encode(bytes.fromhex(row["d"])).decode()
+                    lead = not row["again"] or len(data) < min_revisit_bytes or row["k"] == row["fk"]
+                    record = gzip.compress(_record("null" if row["k"] is None else row["k"], row["u"], data, digest, None if lead else row["fk"], None if lead else row["fu"]), 6, mtime=0)
+                    index.append((row["k"], f"{folder}/{name}", at, len(record), row["u"], digest, "response" if lead else "revisit"))
                     at += len(record)
                     yield record
 
         put_file(folder, name, chunks())
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()]
+        kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()]
         names = [x.split()[0] for x in INDEX.split(", ")]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in index], kinds[i]) for i in range(len(kinds))], names)
 
@@ -128,7 +124,7 @@ def read_records(selected: DataFrame, payloads: bool = False) -> DataFrame:
                 for at, n in parts:
                     rec = parse(gzip.decompress(data[at - begin : at - begin + n]))
                     head = rec["headers"]
-                    refers = head.get("WARC-Refers-To", "").removeprefix("<urn:page:").partition(":")[0]
+                    refers = head.get("WARC-Refers-To", "").removeprefix("<urn:page:").rstrip(">")
                     out.append({"record_id": next(ids), "file": name, "offset": at, "url": head["WARC-Target-URI"], "payload_bytes": rec["payload_bytes"], "payload_digest": head["WARC-Payload-Digest"].removeprefix("sha1:"), "record_type": head["WARC-Type"], "refers_to": int(refers) if refers not in ("", "None") else None, "payload": rec["payload"]})
                     if head["WARC-Type"] == "response" and base64.b32encode(hashlib.sha1(rec["payload"]).digest()).decode() != out[-1]["payload_digest"]:
                         raise ValueError(f"{name} at {at}: the payload doesn't have its digest")
