@@ -30,7 +30,7 @@ BUCKETS, RANK, COMMON = 1 << 15, 64, 4
 SAMPLE, PASSAGE = 20_000, 64
 ITEMS = 20_000
 SIZES = (16, 32, 64)  #: words in a window; windows overlap by half
-COSINE = 0.6  #: of a candidate
+COSINE = 0.5  #: of a candidate
 WHOLE, PARAPHRASE, ANSWER_WORDS, ANSWER = 0.7, 0.5, 5, 0.8
 
 
@@ -90,9 +90,11 @@ def _sketch(rows: list[np.ndarray], idf: np.ndarray, probe: np.ndarray, scale: n
 def latent_basis(docs: DataFrame, items: DataFrame, idf: np.ndarray, words_in_all: int, text: str, item_text: str, seed: int = 5) -> np.ndarray:
     """idf-weighted coordinates of every bucket (BUCKETS x RANK), from randomised subspace iterations."""
     share = min(1.0, SAMPLE * PASSAGE / max(1, words_in_all))
-    weight = math.sqrt(SAMPLE / max(1, min(items.count(), SAMPLE)))  # the items together weigh as much as the sample
     sample = _slim(docs.filter(F.rand(seed) < share) if share < 1 else docs, text).withColumn("w", F.lit(1.0))
-    both = sample.union(_slim(items.filter(F.rand(seed) < F.lit(SAMPLE / max(1, items.count()))), item_text).withColumn("w", F.lit(weight)))
+    # A tenth of the weight falls to the items together, but to none so much that it makes a direction of its own among the first.
+    passages, n = min(SAMPLE, words_in_all / PASSAGE), max(1, items.count())
+    weight = math.sqrt(max(1.0, min(0.1 * passages / n, 0.003 * passages)))
+    both = sample.union(_slim(items.filter(F.rand(seed) < F.lit(SAMPLE / n)), item_text).withColumn("w", F.lit(weight)))
     both = both.repartition(8)
     width = RANK + COMMON + 8
 
