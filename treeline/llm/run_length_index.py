@@ -23,7 +23,7 @@ class RunLengthIndex:
         text = np.zeros(n, np.int64)
         text[np.arange(len(data)) + np.repeat(np.arange(len(lengths)), lengths) + 1] = data.astype(np.int64) + 1
         self.begins = ends - lengths + np.arange(len(lengths)) + 1
-        self.text = text
+        self.small = (text - 1).astype(np.uint8)  # a separator looks like a byte 255, but places come from streaming, which never crosses one
         sa, rank = self._sort(text)
         # Groups: neighbours in suffix order whose first `length` symbols agree, as two overlapping halves of known rank.
         half = START * 4
@@ -42,7 +42,9 @@ class RunLengthIndex:
         last = text[sa - 1]
         first = np.flatnonzero(np.append(True, last[1:] != last[:-1]))
         char, run = last[first], np.diff(np.append(first, n))
-        self.less = np.append(0, np.cumsum(np.bincount(text, minlength=257)))
+        kind = np.int32 if 258 * (n + 1) < 2**31 else np.int64  # narrow numbers keep the tables of a small index in cache
+        self.kind = kind
+        self.less = np.append(0, np.cumsum(np.bincount(text, minlength=257))).astype(kind)
         order = np.argsort(char, kind="stable")
         self.char, self.first, self.run = char[order], first[order], run[order]
         self.key = self.char * (n + 1) + self.first
@@ -50,6 +52,7 @@ class RunLengthIndex:
         lead = np.flatnonzero(np.append(True, self.char[1:] != self.char[:-1]))
         self.before = before - np.repeat(before[lead], np.diff(np.append(lead, len(self.char))))
         self.sample = sa[self.first + self.run - 1]
+        self.char, self.first, self.run, self.key, self.before, self.sample = (x.astype(kind) for x in (self.char, self.first, self.run, self.key, self.before, self.sample))
 
     def _sort(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The suffix array, and every suffix's rank by its first 4 * START symbols."""
@@ -58,7 +61,7 @@ class RunLengthIndex:
         key = np.zeros(n, np.int64)
         for i in range(START):
             key = key << 9 | wide[i : i + n]
-        sa = np.argsort(key, kind="stable")
+        sa = np.argsort(key)
         rank = np.empty(n, np.int64)
         head = np.append(True, key[sa][1:] != key[sa][:-1])
         rank[sa] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
@@ -77,7 +80,7 @@ class RunLengthIndex:
                 pos = sa[at]
                 after = np.where(pos + span < n, rank[np.minimum(pos + span, n - 1)] + 1, 0)
                 key = rank[pos] * (n + 1) + after
-                order = np.argsort(key, kind="stable")
+                order = np.argsort(key)
                 sa[at] = pos[order]
                 key = key[order]
                 group = rank[sa[at]]
@@ -87,7 +90,7 @@ class RunLengthIndex:
 
     def _step(self, c: np.ndarray, lo: np.ndarray, hi: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Put a symbol before each pattern."""
-        base = c * (self.n + 1)
+        base = c * self.kind(self.n + 1)
         out = []
         for p in (lo, hi):
             j = np.searchsorted(self.key, base + p, "left") - 1
@@ -103,12 +106,12 @@ class RunLengthIndex:
         least, place = np.full(size.sum(), np.iinfo(np.int64).max), np.full(size.sum(), -1)
         order = np.argsort(-lengths, kind="stable")
         begins, lengths, out, size = begins[order], lengths[order], out[order], size[order]
-        lo, hi, at = np.zeros(len(order), np.int64), np.full(len(order), self.n), np.full(len(order), -1)
+        lo, hi, at = np.zeros(len(order), self.kind), np.full(len(order), self.n, self.kind), np.full(len(order), -1, self.kind)
         broken = np.zeros(len(order), bool)
         for back in range(1, int(lengths.max(initial=0)) + 1):
             m = int(np.searchsorted(-lengths, -back, "right"))
             i = lengths[:m] - back
-            c = data[begins[:m] + i].astype(np.int64) + 1
+            c = data[begins[:m] + i].astype(self.kind) + self.kind(1)
             lo[:m], hi[:m], at[:m] = self._step(c, lo[:m], hi[:m], at[:m])
             broken[:m] |= lo[:m] >= hi[:m]
             if back >= self.length:
@@ -128,5 +131,5 @@ class RunLengthIndex:
         ok = place >= 0
         for i in range(self.length):
             some = np.flatnonzero(ok)
-            ok[some] = self.text[place[some] + i] == data[begins[some] + i].astype(np.int64) + 1
+            ok[some] = self.small[place[some] + i] == data[begins[some] + i]
         return ok

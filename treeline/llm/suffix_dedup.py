@@ -3,11 +3,12 @@
 Every string of ``LENGTH`` bytes holds a minimizer: of its substrings of ``GRAM`` bytes, the one with the least hash. Equal
 strings have the same one, wherever they stand. So work is dealt by minimizer, and each part of it is exact alone:
 
-1. Chunks of documents are written to the shared folder, and each sends the distinct minimizers it holds.
-2. Minimizers of one document alone are dropped. The answer is a code for each that was sent: alone, shared, or
+1. Chunks of documents are written to the shared folder. A string holds its minimizer with ``SIDE`` bytes more, before
+   or after it; each chunk sends the distinct hashes of such longer strings.
+2. Those of one document alone are dropped. The answer is a code for each that was sent: alone, shared, or
    shared by so many chunks that its strings are dealt by their own hash instead, one by one.
-3. Each chunk cuts the stretches with a shared minimizer (``LENGTH`` to 2 * ``LENGTH`` bytes) and sends each distinct one with
-   the least document id that has it.
+3. Each chunk cuts the stretches of strings with the same minimizer that are shared so far (``LENGTH`` to 2 * ``LENGTH``
+   bytes) and sends each distinct one with the least document id that has it.
 4. Parts of these, of bounded size, are indexed by a run-compressed Burrows-Wheeler transform with sampled run
    ends. The stretches stream through it; each window of ``LENGTH`` bytes that matches tells the least id of
    all documents that have it, and is compared byte for byte with a sample's place. The answer is those ids.
@@ -25,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import struct
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -38,9 +40,12 @@ from .run_length_index import RunLengthIndex
 from .shared_store import new_folder, open_file, put_file, written
 from .text_arrays import BATCH_CHARS, _power_tables, mixed, slices, span_hashes
 
-LENGTH, GRAM = 50, 24
+LENGTH, GRAM = 50, 12
+SIDE = (LENGTH - GRAM) // 2
+PLACE_BITS = 24  #: of a position beside its hash; pieces of text are shorter than 2 ** PLACE_BITS
+PIECE = 1 << 22
 CHUNK, PART = 8 << 20, 8 << 20  #: bytes of text
-INDEXED = 1 << 20  #: bytes that one index holds
+INDEXED = 128 << 10  #: bytes that one index holds; its tables then fit the cache
 SPREAD = 64  #: chunks with a minimizer beyond which its strings are dealt one by one
 ALONE, SHARED, COMMON = 0, 1, 2
 NOWHERE = np.iinfo(np.int64).max
@@ -75,22 +80,31 @@ class Chunk:
         with open_file(path) as f:
             return cls(*_unzip(f.read(), "i8", "?", "i8", "u1"))
 
-    def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Begin, number of windows, minimizer hash and document of all runs of windows with the same minimizer, in order."""
-        found = [self._runs(part) for part in slices(np.diff(self.offsets).tolist(), BATCH_CHARS)]
-        return tuple(np.concatenate([f[i] for f in found]) if found else np.zeros(0, kind) for i, kind in enumerate((np.int64, np.int64, np.uint64, np.int64)))
-
-    def _runs(self, part: slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        offsets = self.offsets[part.start : part.stop + 1]
-        data = self.data[offsets[0] : offsets[-1]]
+    def runs(self) -> Runs:
+        """All runs of windows with the same minimizer, in order."""
+        size = np.diff(self.offsets)
+        count = np.maximum(1, -(-(size - LENGTH + 1) // (PIECE - LENGTH + 1)))  # long documents in pieces that overlap
+        doc = np.repeat(np.arange(len(size)), count)
+        nth = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+        begin = self.offsets[doc] + nth * (PIECE - LENGTH + 1)
+        end = np.minimum(begin + PIECE, self.offsets[doc + 1])
+        found = [self._runs(begin[part], end[part], doc[part]) for part in slices((end - begin).tolist(), BATCH_CHARS)]
+        return Runs(*(np.concatenate([getattr(f, x) for f in found]) if found else np.zeros(0, np.int64) for x in Runs.__annotations__))
+
+    def _runs(self, begins: np.ndarray, ends: np.ndarray, docs: np.ndarray) -> Runs:
+        if len(begins) > 1 and (begins[1:] != ends[:-1]).any():  # pieces of one document: each alone
+            found = [self._runs(begins[i : i + 1], ends[i : i + 1], docs[i : i + 1]) for i in range(len(begins))]
+            return Runs(*(np.concatenate([getattr(f, x) for f in found]) for x in Runs.__annotations__))
+        data = self.data[begins[0] : ends[-1]]
         span, n = LENGTH - GRAM + 1, len(data) - LENGTH + 1
         if n <= 0:
             none = np.zeros(0, np.int64)
-            return none, none, none.astype(np.uint64), none
+            return Runs(none, none, none, none, none.astype(np.uint64), none.astype(np.uint64), none.astype(np.uint64))
         up, down = _power_tables(len(data) + 1)
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
-        least = mixed((sums[GRAM:] - sums[:-GRAM]) * down[: len(data) - GRAM + 1])
+        hashes = mixed((sums[GRAM:] - sums[:-GRAM]) * down[: len(data) - GRAM + 1])
+        least = hashes >> np.uint64(PLACE_BITS) << np.uint64(PLACE_BITS) | np.arange(len(hashes), dtype=np.uint64)
         width = 1
         while 2 * width <= span:
             least = np.minimum(least[:-width], least[width:])
@@ -98,18 +112,30 @@ class Chunk:
         if width < span:
             least = np.minimum(least[: -(span - width)], least[span - width :])
         cover = np.zeros(len(data) + 1, np.int32)  # windows that reach over the end of their document
-        relative = offsets - offsets[0]
+        relative = np.append(begins, ends[-1:]) - begins[0]
         np.add.at(cover, np.maximum(relative[:-1], relative[1:] - LENGTH + 1), 1)
         np.add.at(cover, relative[1:], -1)
         valid = np.cumsum(cover)[:n] == 0
         same = np.zeros(n + 1, bool)
         same[1:-1] = valid[1:] & valid[:-1] & (least[1:] == least[:-1])
         begin, end = np.flatnonzero(valid & ~same[:-1]), np.flatnonzero(valid & ~same[1:]) + 1
-        pieces = -(-(end - begin) // span)  # longer ones, of periodic text, are cut
-        nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        begin, end = np.repeat(begin, pieces) + nth * span, np.repeat(end, pieces)
-        doc = np.searchsorted(relative, begin, "right") - 1 + part.start
-        return begin + offsets[0], np.minimum(end - begin, span), least[begin], doc
+        place = (least[begin] & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
+        doc = docs[np.searchsorted(relative, begin, "right") - 1]
+        with_side = lambda at: mixed((sums[np.minimum(at + GRAM + SIDE, len(data))] - sums[np.maximum(at, 0)]) * down[np.maximum(at, 0)])
+        return Runs(begin + begins[0], end - begin, np.clip(place - SIDE + 1 - begin, 0, end - begin), doc, hashes[place], with_side(place - SIDE), with_side(place))
+
+
+@dataclass
+class Runs:
+    """Runs of windows: begin, how many, how many of them hold the side before the minimizer (the others that after it), document, and the hashes of the minimizer alone, with the side before and with that after."""
+
+    begin: np.ndarray
+    windows: np.ndarray
+    early: np.ndarray
+    doc: np.ndarray
+    hashes: np.ndarray
+    before: np.ndarray
+    after: np.ndarray
 
 
 def _key(hashes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
@@ -118,35 +144,44 @@ def _key(hashes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Sent:
-    """The distinct (part, number) of a chunk's minimizers, and for each run which of them it has."""
+    """The distinct (part, number) of a chunk's minimizers with a side, and for both halves of each run which of them it has."""
 
     def __init__(self, chunk: Chunk, parts: int):
-        self.begin, self.windows, self.hashes, self.doc = chunk.runs()
-        known = chunk.known[self.doc]
-        self.begin, self.windows, self.hashes, self.doc = self.begin[known], self.windows[known], self.hashes[known], self.doc[known]
-        part, number = _key(self.hashes, parts)
-        key, self.which = np.unique(part << 32 | number.astype(np.int64), return_inverse=True)
+        runs = chunk.runs()
+        known = chunk.known[runs.doc]
+        self.runs = runs = Runs(*(getattr(runs, x)[known] for x in Runs.__annotations__))
+        first, second = np.flatnonzero(runs.early > 0), np.flatnonzero(runs.early < runs.windows)
+        part, number = _key(np.append(runs.before[first], runs.after[second]), parts)
+        key, which = np.unique(part << 32 | number.astype(np.int64), return_inverse=True)
         self.part, self.number = key >> 32, (key & 0xFFFFFFFF).astype(np.uint32)
+        ids = chunk.ids[runs.doc]
         low, high = np.full(len(key), NOWHERE), np.full(len(key), -NOWHERE)
-        np.minimum.at(low, self.which, chunk.ids[self.doc])
-        np.maximum.at(high, self.which, chunk.ids[self.doc])
+        for half, at in ((first, which[: len(first)]), (second, which[len(first) :])):
+            np.minimum.at(low, at, ids[half])
+            np.maximum.at(high, at, ids[half])
         self.several = low < high
+        self.which = np.full((2, len(runs.begin)), -1)
+        self.which[0, first], self.which[1, second] = which[: len(first)], which[len(first) :]
 
 
 class Stretches:
-    """The distinct stretches of a chunk whose minimizer is shared, sorted by part; for each place, which of them stands there."""
+    """The distinct stretches of a chunk that may be shared, sorted by part; for each place, which of them stands there."""
 
     def __init__(self, chunk: Chunk, sent: Sent, codes: np.ndarray, parts: int):
-        code = codes[sent.which]
-        pick, common = np.flatnonzero(code == SHARED), np.flatnonzero(code == COMMON)
-        count = sent.windows[common]
-        single = np.repeat(sent.begin[common], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        begin, windows = np.append(sent.begin[pick], single), np.append(sent.windows[pick], np.ones(len(single), np.int64))
-        doc = np.append(sent.doc[pick], np.repeat(sent.doc[common], count))
+        runs = sent.runs
+        early, late = np.append(codes, ALONE).astype(np.uint8)[sent.which]
+        # Windows of a run that go together: both halves, or the one that is shared.
+        skip, take = np.where(early == SHARED, 0, runs.early), np.where(early == SHARED, runs.early, 0) + np.where(late == SHARED, runs.windows - runs.early, 0)
+        pick = np.flatnonzero(take)
+        common = np.append(np.flatnonzero(early == COMMON), np.flatnonzero(late == COMMON))
+        count = np.append(runs.early[early == COMMON], (runs.windows - runs.early)[late == COMMON])
+        start = np.append(runs.begin[early == COMMON], (runs.begin + runs.early)[late == COMMON])
+        single = np.repeat(start, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        begin, windows = np.append((runs.begin + skip)[pick], single), np.append(take[pick], np.ones(len(single), np.int64))
+        doc = np.append(runs.doc[pick], np.repeat(runs.doc[common], count))
         own = self._hashes(chunk.data, begin, windows)
-        by = np.append(sent.hashes[pick], own[len(pick) :])
-        part, number = _key(by, parts)
-        order = np.lexsort((own, number, part))
+        part, number = _key(np.append(runs.hashes[pick], own[len(pick) :]), parts)
+        order = np.lexsort((own, part << 32 | number.astype(np.int64)))
         part, number, own = part[order], number[order], own[order]
         new = np.append(True, (part[1:] != part[:-1]) | (number[1:] != number[:-1]) | (own[1:] != own[:-1]))[: len(part)]
         self.place, self.doc, self.which = begin[order], doc[order], np.cumsum(new) - 1
