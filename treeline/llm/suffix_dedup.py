@@ -27,12 +27,14 @@ import hashlib
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,9 +85,9 @@ class Chunk:
     def runs(self) -> Runs:
         """All runs of windows with the same minimizer, in order."""
         size = np.diff(self.offsets)
-        count = np.maximum(1, -(-(size - LENGTH + 1) // (PIECE - LENGTH + 1)))  # long documents in pieces that overlap
-        doc = np.repeat(np.arange(len(size)), count)
-        nth = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+        pieces = np.maximum(1, -(-(size - LENGTH + 1) // (PIECE - LENGTH + 1)))  # long documents in pieces that overlap
+        doc = np.repeat(np.arange(len(size)), pieces)
+        nth = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         begin = self.offsets[doc] + nth * (PIECE - LENGTH + 1)
         end = np.minimum(begin + PIECE, self.offsets[doc + 1])
         found = [self._runs(begin[part], end[part], doc[part]) for part in slices((end - begin).tolist(), BATCH_CHARS)]
@@ -174,11 +176,11 @@ class Stretches:
         skip, take = np.where(early == SHARED, 0, runs.early), np.where(early == SHARED, runs.early, 0) + np.where(late == SHARED, runs.windows - runs.early, 0)
         pick = np.flatnonzero(take)
         common = np.append(np.flatnonzero(early == COMMON), np.flatnonzero(late == COMMON))
-        count = np.append(runs.early[early == COMMON], (runs.windows - runs.early)[late == COMMON])
+        many = np.append(runs.early[early == COMMON], (runs.windows - runs.early)[late == COMMON])
         start = np.append(runs.begin[early == COMMON], (runs.begin + runs.early)[late == COMMON])
-        single = np.repeat(start, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        single = np.repeat(start, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
         begin, windows = np.append((runs.begin + skip)[pick], single), np.append(take[pick], np.ones(len(single), np.int64))
-        doc = np.append(runs.doc[pick], np.repeat(runs.doc[common], count))
+        doc = np.append(runs.doc[pick], np.repeat(runs.doc[common], many))
         own = self._hashes(chunk.data, begin, windows)
         part, number = _key(np.append(runs.hashes[pick], own[len(pick) :]), parts)
         order = np.lexsort((own, part << 32 | number.astype(np.int64)))
@@ -260,6 +262,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", tex
 
     def chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        numbers = count()
 
         def out() -> pa.RecordBatch:
             table = pa.Table.from_batches(held).combine_chunks()
@@ -269,11 +272,13 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", tex
             data = np.frombuffer(raw.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
             chunk = Chunk(keys.fill_null(0).to_numpy(zero_copy_only=False), keys.is_valid().to_numpy(zero_copy_only=False), offsets - offsets[0], data)
             body = chunk.packed()
-            path = put_file(folder, hashlib.sha1(body).hexdigest(), [body])
+            mark = hashlib.sha1(body).hexdigest()
+            # The name is the chunk's identity: equal chunks elsewhere are others, a repeated task's are the same.
+            path = put_file(folder, f"{TaskContext.get().partitionId():06d}-{next(numbers):06d}-{mark}", [body])
             sent = Sent(chunk, parts)
             cuts = np.searchsorted(sent.part, np.arange(parts + 1))
             rows = [(p, path, _zip(sent.number[a:b], np.packbits(sent.several[a:b]))) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
-            rows = rows or [(int(hashlib.sha1(body).hexdigest()[:8], 16) % parts, path, _zip(sent.number, np.packbits(sent.several)))]
+            rows = rows or [(int(mark[:8], 16) % parts, path, _zip(sent.number, np.packbits(sent.several)))]
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int64(), pa.string(), pa.binary()))], ["part", "chunk", "blob"])
 
