@@ -3,7 +3,7 @@
 The strings are joined by separators, the suffixes sorted by prefix doubling, and the transform kept as runs: for
 each its character, first place, how many of that character come before, and the text position at its end (the
 sample). A pattern streams in from its last byte; its interval narrows by two rank queries a byte, on all patterns
-at once, and a text position of one occurrence is carried along from the samples. Where ``length`` or more bytes
+at once, and the text position of the interval's last suffix is carried along from the samples. Where ``length`` or more bytes
 have matched, the interval's first place tells the group of all suffixes with the same first ``length`` bytes.
 """
 
@@ -39,6 +39,7 @@ class RunLengthIndex:
         label = np.full(n, np.iinfo(np.int64).max)
         label[places] = np.repeat(labels, size)
         self.least = np.minimum.reduceat(label[sa], self.groups)
+        self.last = int(sa[-1])  # where the last of all suffixes begins
         last = text[sa - 1]
         first = np.flatnonzero(np.append(True, last[1:] != last[:-1]))
         char, run = last[first], np.diff(np.append(first, n))
@@ -106,7 +107,7 @@ class RunLengthIndex:
         least, place = np.full(size.sum(), np.iinfo(np.int64).max), np.full(size.sum(), -1)
         order = np.argsort(-lengths, kind="stable")
         begins, lengths, out, size = begins[order], lengths[order], out[order], size[order]
-        lo, hi, at = np.zeros(len(order), self.kind), np.full(len(order), self.n, self.kind), np.full(len(order), -1, self.kind)
+        lo, hi, at = np.zeros(len(order), self.kind), np.full(len(order), self.n, self.kind), np.full(len(order), self.last, self.kind)
         broken = np.zeros(len(order), bool)
         for back in range(1, int(lengths.max(initial=0)) + 1):
             m = int(np.searchsorted(-lengths, -back, "right"))
