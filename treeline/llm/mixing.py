@@ -17,8 +17,6 @@ empty table gives an empty one. Column names of the input may clash with nothing
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +27,6 @@ TERMS = 96  #: the distribution is tabulated up to here; beyond lies less than 2
 BROADCAST_SOURCES = 10_000  #: a table of rates with more sources is joined by a shuffle
 
 
-
 def uniform(*parts: Column) -> Column:
     """A number in [0, 1) from the first 52 bits of an MD5 hash, so that any engine can repeat it."""
     return F.conv(F.substring(F.md5(F.concat_ws(":", *parts).cast("binary")), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
@@ -55,9 +52,9 @@ def rates(docs: DataFrame, weights: dict[str, float] | None, temperature: float,
         given = F.create_map(*[F.lit(x) for pair in sorted(weights.items()) for x in pair]) if weights else F.create_map().cast("map<string,double>")
         n = n.withColumn("__mix_weight", F.coalesce(given[F.col("__mix_source").cast("string")], F.lit(0.0)))
     n = written(n, "mix-sources")
-    total = n.agg(F.sum("__mix_rows").alias("rows"), F.sum("__mix_weight").alias("weight"))  # one row, for any input
-    n = n.join(F.broadcast(total), how="cross")
-    rate = F.when(F.col("weight") > 0, F.col("__mix_weight") / F.col("weight") * (F.lit(float(budget)) if budget is not None else F.col("rows").cast("double")) / F.col("__mix_rows").cast("double")).otherwise(F.lit(0.0))
+    total = n.agg(F.sum("__mix_rows").alias("rows"), F.sum("__mix_weight").alias("weight")).first()  # two numbers
+    wanted = F.lit(float(total["rows"] or 0 if budget is None else budget))
+    rate = F.col("__mix_weight") / F.lit(total["weight"]) * wanted / F.col("__mix_rows").cast("double") if total["weight"] else F.lit(0.0)
     return n.select("__mix_source", "__mix_rows", rate.alias("__mix_rate"))
 
 

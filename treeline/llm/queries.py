@@ -78,4 +78,5 @@ QUERIES = {
     "op10_token_store": op10_token_store,
 }
 
+#: The others are beyond SQL (codes, indexes, models, tokenizers); their tests compare with brute force.
 SQL: dict[str, str] = {"op2_mixing": mixing.REPLICATE_SQL}
