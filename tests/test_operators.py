@@ -162,7 +162,7 @@ def test_dialogue(spark):
     import json
 
     items = [
-        ("name", {"name": "<b>A</b>", "content": "hi {@nickname} "}), ("name", {"content": "x"}), ("name", {"name": "B", "content": " "}), ("Sticker", {"text": "note"}), ("subtitle", {"content": "sub"}),
+        ("name", {"name": "<b>A</b>", "content": "hi {@nickname} "}), ("name", {"content": "x"}), ("name", {"name": "B", "content": ""}), ("Sticker", {"text": "note"}), ("subtitle", {"content": "sub"}),
         ("decision", {"options": '["one", {"text": "two"}, ""]'}), ("bgm", {"content": "no"}),
     ]
     text = json.dumps({"storyList": [{"prop": p, "attributes": a} for p, a in items]})
@@ -224,8 +224,8 @@ def test_checked_state():
 
 
 def test_valid_skins(spark):
-    skins = spark.createDataFrame([("a", "char_1"), ("b", "token_1"), ("c", "char_9"), ("d", "char_2")], "skin_id string, char_id string")
-    assert rows(state.valid_skins(skins, col(spark, ["char_1", "char_2", "token_1"], "key"))) == [("a",), ("d",)]
+    skins = spark.createDataFrame([("a", "char_1"), ("b", "token_1"), ("c", "char_9"), ("d", "char_2"), ("token_x", "char_1")], "skin_id string, char_id string")
+    assert rows(state.valid_skins(skins, col(spark, ["char_1", "char_2"], "key"))) == [("a",), ("d",)]
 
 
 def test_delta_and_since(spark):

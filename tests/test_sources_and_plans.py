@@ -88,6 +88,8 @@ def test_data_chain(spark, tmp_path):
     fresh["cn/gamedata/story/activities/a.txt"] = '[name="阿米娅"]你好\n[Dialog]\n'.encode()
     fresh["cn/gamedata/story/obt/b.txt"] = b'[name="x"]hello'
     fresh["cn/hot_update_list.json"] = b'{"versionId":"v9","abInfos":[]}'
+    fresh["cn/gamedata/excel/story_review_meta_table.json"] = json.dumps({"actArchiveResData": {"avgs": {"x": {"desc": "Opening", "contentPath": "obt/extra"}, "y": {"desc": "No", "contentPath": "obt/none"}}}}).encode()
+    fresh["cn/gamedata/story/obt/extra.txt"] = b"plain"
     put(tmp_path / "extract", fresh)
     put(tmp_path / "baseline", {"zh_CN/gamedata/levels/old.json": b"{}"})
     args = ["--workdir", str(tmp_path)]
@@ -95,13 +97,15 @@ def test_data_chain(spark, tmp_path):
     assert cli.main([*args, "run", "--publish", "--probe-operator", "阿米娅"], spark) == 0
     story = tmp_path / "candidate/zh_CN/gamedata/story"
     assert json.loads((story / "activities/a.json").read_text("utf-8"))["storyList"][0]["attributes"]["name"] == "阿米娅"
-    assert json.loads((story / "wordcount.json").read_text()) == {"e": {"activities/a": 2, "Obt/B": 5}}
-    assert json.loads((story / "chardict.json").read_text("utf-8")) == {"amiya": {"name": "阿米娅", "id": "002"}}
-    assert json.loads((story / "summaries.json").read_text("utf-8")) == {"Obt/B": "x：hello", "activities/a": "阿米娅：你好"}
-    assert "--- 1 [t] n ---" in json.loads((story / "event_summaries.json").read_text("utf-8"))["e"]
+    assert json.loads((story.parents[1] / "wordcount.json").read_text()) == {"e": {"activities/a": 2, "Obt/B": 5}}
+    assert json.loads((story.parents[1] / "chardict.json").read_text("utf-8")) == {"amiya": {"name": "阿米娅", "id": "002"}}
+    assert json.loads((story.parents[1] / "summaries.json").read_text("utf-8")) == {"Obt/B": "x：hello", "activities/a": "阿米娅：你好"}
+    assert "--- 1 [t] n ---" in json.loads((story.parents[1] / "event_summaries.json").read_text("utf-8"))["e"]
+    assert json.loads((story.parents[1] / "extrastory.json").read_text()) == {"extra": [{"storyName": "Opening", "storyTxt": "obt/extra"}]}
+    assert set(json.loads((story.parents[1] / "storyinfo.json").read_text())) == {"activities/a", "Obt/B", "obt/extra"}
     assert (tmp_path / "candidate/zh_CN/gamedata/levels/old.json").exists()
     merged, manifest = (json.loads((tmp_path / f).read_text("utf-8")) for f in ("merge.json", "dist/manifest.json"))
-    assert merged["stats"]["kept_from_baseline"] == 1 and manifest["validation"]["ok"] and set(manifest["assets"]) == {"excel.zip", "levels.zip", "story.zip"}
+    assert merged["stats"]["kept_from_baseline"] == 1 and manifest["validation"]["ok"] and set(manifest["assets"]) == {"zh_CN-excel.zip", "zh_CN-levels.zip", "zh_CN.zip"}
     assert cli.main([*args, "check"], spark) == cli.UNCHANGED and cli.main([*args, "run"], spark) == 0
     put(tmp_path / "candidate", {"zh_CN/gamedata/excel/item_table.json": b"broken"})
     assert cli.main([*args, "validate"], spark) == 1

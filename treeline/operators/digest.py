@@ -19,22 +19,21 @@ MAX_CONCURRENT = 8
 
 
 def dialogue(story: Column) -> Column:
-    """The dialogue of a story (JSON text), a line for each spoken line, caption and option."""
+    """The dialogue of a story (JSON text), a line for each spoken line, caption and option that isn't empty before it is cleaned."""
     items = F.from_json(story, STORY)["storyList"]
 
     def lines(item: Column) -> Column:
         a, prop = item["attributes"], F.lower(item["prop"])
         content = F.coalesce(a["content"], F.lit(""))
-        who = clean_rich_text(F.coalesce(F.nullif(a["name"], F.lit("")), F.lit(NOBODY)))
-        said = clean_rich_text(content)
-        caption = clean_rich_text(F.coalesce(F.nullif(a["content"], F.lit("")), a["text"], F.lit("")))
+        who = F.coalesce(clean_rich_text(F.nullif(a["name"], F.lit(""))), F.lit(NOBODY))
+        caption = F.coalesce(F.nullif(a["content"], F.lit("")), a["text"], F.lit(""))
         options = F.coalesce(F.from_json(a["options"], "array<string>"), F.array().cast("array<string>"))
-        texts = F.transform(options, lambda o: clean_rich_text(F.when(o.startswith("{"), F.coalesce(F.get_json_object(o, "$.text"), F.lit(""))).otherwise(o)))
+        texts = F.transform(options, lambda o: F.when(o.startswith("{"), F.coalesce(F.get_json_object(o, "$.text"), F.lit(""))).otherwise(o))
         none = F.array().cast("array<string>")
         return (
-            F.when(prop == "name", F.when(said != "", F.array(F.concat(who, F.lit(COLON), said))).otherwise(none))
-            .when(prop.isin("sticker", "subtitle", "animtext"), F.when(caption != "", F.array(F.concat(F.lit("*"), caption, F.lit("*")))).otherwise(none))
-            .when(prop == "decision", F.transform(F.filter(texts, lambda x: x != ""), lambda x: F.concat(F.lit(OPTION), x)))
+            F.when(prop == "name", F.when(content != "", F.array(F.concat(who, F.lit(COLON), clean_rich_text(content)))).otherwise(none))
+            .when(prop.isin("sticker", "subtitle", "animtext"), F.when(caption != "", F.array(F.concat(F.lit("*"), clean_rich_text(caption), F.lit("*")))).otherwise(none))
+            .when(prop == "decision", F.transform(F.filter(texts, lambda x: x != ""), lambda x: F.concat(F.lit(OPTION), clean_rich_text(x))))
             .otherwise(none)
         )
 
@@ -74,7 +73,8 @@ def ordered_text(rows: DataFrame, group: str, order: Column, text: Column, separ
 def event_texts(parts: DataFrame) -> DataFrame:
     """event_id, parts, text: the input of an event's summary. parts: event_id, ord, code, tag, name, text. One part alone is its own text, cut to SHORT."""
     some = parts.filter("text is not null and text <> ''")
-    head = F.concat(F.lit("--- "), F.col("code"), F.lit(" ["), F.col("tag"), F.lit("] "), F.col("name"), F.lit(" ---\n"), F.col("text"))
+    tag = F.when(F.coalesce("tag", F.lit("")) != "", F.concat(F.lit(" ["), F.col("tag"), F.lit("]"))).otherwise("")
+    head = F.concat(F.lit("--- "), F.coalesce("code", F.lit("")), tag, F.lit(" "), F.coalesce("name", F.lit("")), F.lit(" ---\n"), F.col("text"))
     grouped = some.groupBy("event_id").agg(F.count("*").alias("parts"), F.array_sort(F.collect_list(F.struct(F.col("ord"), head.alias("part"), F.col("text").alias("body")))).alias("p"))
     joined = F.array_join(F.transform("p", lambda x: x["part"]), "\n\n")
     return grouped.select("event_id", "parts", F.when(F.col("parts") <= 1, F.substring(F.col("p")[0]["body"], 1, SHORT)).otherwise(joined).alias("text"))

@@ -19,6 +19,7 @@ REQUIRED_LEVELS = ["gamedata/levels/enemydata/enemy_database.json"]
 TRACKED = ["character_table.json", "stage_table.json", "item_table.json", "enemy_handbook_table.json", "story_review_table.json"]
 ROOTS = ["gamedata/excel", "gamedata/levels", "gamedata/story"]
 DROP_RATIO = 0.05
+LISTED = 10  #: files or ids that a gate names
 
 
 def _rows(df: DataFrame, gate: str, subject: str, message: Column, severity: str = "error") -> DataFrame:
@@ -132,7 +133,9 @@ def validate(candidate: DataFrame, baseline: DataFrame | None, probes: dict[str,
     json_files = inside.filter(F.col("path").endswith(".json") & ~F.col("is_dir"))
     checked = strict_json(json_files)
     broken = checked.filter("not valid")
-    out.append(_rows(broken, "json", "path", F.lit("not strict UTF-8 JSON")))
+    out.append(_rows(broken.orderBy("path").limit(LISTED), "json", "path", F.lit("not strict UTF-8 JSON")))
+    total = broken.agg(F.count("*").cast("string").alias("n")).filter("n <> '0'")
+    out.append(_rows(total, "json_total", "n", F.lit("invalid JSON files in all")))
     tables = inside.join(checked.filter("valid").select("path"), "path").filter(F.col("path").startswith(excel)).withColumn("table", F.substring("path", len(excel) + 1, 1 << 30))
     counts = table_counts(tables)
     scalar = counts.filter(F.col("n").isNull() & F.col("table").isin(*REQUIRED_EXCEL))
@@ -141,7 +144,7 @@ def validate(candidate: DataFrame, baseline: DataFrame | None, probes: dict[str,
     from ..sources.tables import keyed_records
 
     records = keyed_records(tables.filter(F.col("table") == "character_table.json"))
-    out.append(_rows(invalid_rarity(records).orderBy("pos").limit(10), "rarity", "key", F.lit("invalid operator rarity")))
+    out.append(_rows(invalid_rarity(records).orderBy("pos").limit(LISTED), "rarity", "key", F.lit("invalid operator rarity")))
     if baseline is not None:
         before = baseline.filter(F.col("path").startswith(f"{root}/"))
         old = before.filter(F.col("path").startswith(excel)).withColumn("table", F.substring("path", len(excel) + 1, 1 << 30))

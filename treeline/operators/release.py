@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Fixed value: assets of a complete data release.
-REQUIRED_ASSETS = ["excel.zip", "levels.zip", "story.zip", "manifest.json"]
+REQUIRED_ASSETS = ["zh_CN-excel.zip", "zh_CN-levels.zip", "zh_CN.zip", "manifest.json"]
 
 
 def bundle_count(hot_update: DataFrame) -> DataFrame:

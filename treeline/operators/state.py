@@ -38,9 +38,9 @@ def stale(cached: DataFrame, valid: DataFrame, name: str = "bundle") -> DataFram
 
 
 def valid_skins(skins: DataFrame, characters: DataFrame) -> DataFrame:
-    """Skins (skin_id, char_id) of known ``char_*`` characters (key), but for tokens."""
+    """Skins (skin_id, char_id) of known ``char_*`` characters (key), but for ``token_*`` skins."""
     known = characters.select(F.col("key").alias("char_id")).filter(F.col("char_id").startswith("char_"))
-    return skins.filter(~F.col("char_id").startswith("token_")).join(known, "char_id", "left_semi").select("skin_id")
+    return skins.filter(~F.col("skin_id").startswith("token_")).join(known, "char_id", "left_semi").select("skin_id")
 
 
 def bundles_for(candidates: DataFrame, skins: DataFrame) -> DataFrame:

@@ -31,6 +31,13 @@ def story_references(tables: DataFrame) -> DataFrame:
     return chapters_of(tables).select(F.col("storyTxt").alias("ref")).union(avgs).filter("ref is not null and ref <> ''")
 
 
+def archive_entries(tables: DataFrame) -> DataFrame:
+    """pos, storyName, storyTxt of the archive's entries that have a text."""
+    archive = tables.filter(F.col("table") == "story_review_meta_table.json").select(F.from_json(F.col("content").cast("string"), META).alias("m"))
+    rows = archive.select(F.posexplode(F.map_entries("m.actArchiveResData.avgs")).alias("pos", "e"))
+    return rows.select("pos", F.col("e.value.desc").alias("storyName"), F.col("e.value.contentPath").alias("storyTxt")).filter("storyTxt is not null and storyTxt <> ''")
+
+
 def case_fixes(refs: DataFrame, texts: DataFrame) -> DataFrame:
     """expected, actual: references that no text has, with the first text (by name) that has it in another case."""
     index = texts.groupBy(F.lower("ref").alias("__low")).agg(F.min("ref").alias("actual"))

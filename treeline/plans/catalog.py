@@ -249,11 +249,11 @@ def forced_bundles(spark: SparkSession, d: str) -> DataFrame:
     return state.forced(_t(spark, d, "orders").filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("bundle")), changed, current)
 
 
-@registered("select s_suppkey as skin_id from supplier where exists (select 1 from nation join region on n_regionkey = r_regionkey where n_nationkey = s_nationkey and r_name <> 'ASIA') and s_name not like 'token_%'")
+@registered("select s_name as skin_id from supplier where exists (select 1 from nation join region on n_regionkey = r_regionkey where n_nationkey = s_nationkey and r_name <> 'ASIA') and s_name not like 'token_%'")
 def valid_ids_semi_join(spark: SparkSession, d: str) -> DataFrame:
     nations = _t(spark, d, "nation").join(_t(spark, d, "region").filter("r_name <> 'ASIA'"), F.col("n_regionkey") == F.col("r_regionkey"))
     characters = nations.select(F.concat(F.lit("char_"), F.col("n_nationkey").cast("string")).alias("key"))
-    skins = _t(spark, d, "supplier").select(F.col("s_suppkey").alias("skin_id"), F.concat(F.lit("char_"), F.col("s_nationkey").cast("string")).alias("char_id"))
+    skins = _t(spark, d, "supplier").select(F.col("s_name").alias("skin_id"), F.concat(F.lit("char_"), F.col("s_nationkey").cast("string")).alias("char_id"))
     return state.valid_skins(skins, characters)
 
 

@@ -15,12 +15,15 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import is_art_bundle
 from ..operators import art, delta, digest, gates, overlay, release, state, story
 from ..sources import archives, tables, tree
 from ..sources.registry import Registry
 from .workers import importable
 
 ROOT = "zh_CN"
+#: Files at the root that go with the stories.
+INDEX_FILES = ["extrastory.json", "chardict.json", "wordcount.json", "storyinfo.json", "summaries.json", "event_summaries.json"]
 
 
 @dataclass
@@ -134,11 +137,17 @@ def convert_stories(work: Work) -> int:
         counts.setdefault(r["event_id"], {})
         if r["story_key"]:
             counts[r["event_id"]][r["story_key"]] = r["words"]
-    out = work.path / "candidate" / prefix
+    out = work.path / "candidate" / ROOT
     old = json.loads((out / "wordcount.json").read_text("utf-8")) if (out / "wordcount.json").exists() else {}
     for event, words in counts.items():
         old.setdefault(event, {}).update(words)
     archives.write_json(out / "wordcount.json", old)
+    infos = json.loads((out / "storyinfo.json").read_text("utf-8")) if (out / "storyinfo.json").exists() else {}
+    infos |= {r["ref"]: r["info"] or "" for r in converted.filter("error is null").select("ref", F.get_json_object("story", "$.storyInfo").alias("info")).toLocalIterator()}
+    archives.write_json(out / "storyinfo.json", infos)
+    ready = done.select("ref").union(converted.filter("error is null").select("ref")).distinct()
+    extra = story.extra_stories(story.archive_entries(source), ready).orderBy("pos")
+    archives.write_json(out / "extrastory.json", {"extra": [{"storyName": r["storyName"], "storyTxt": r["storyTxt"]} for r in extra.toLocalIterator()]})
     people = story.character_dictionary(tables.keyed_records(source.filter("table = 'character_table.json'")))
     archives.write_json(out / "chardict.json", {r["key"]: {"name": r["name"], "id": r["id"]} for r in people.orderBy("key").toLocalIterator()})
     stats = {
@@ -159,7 +168,7 @@ def summarize(work: Work, model: Callable[[str], str] = digest.extractive) -> in
     chapters = digest.chapter_order(story.chapters_of(_tables(candidate)), stories)
     if not chapters.limit(1).count():
         return 0
-    spark, folder = work.spark, work.path / "candidate" / prefix
+    spark, folder = work.spark, work.path / "candidate" / ROOT
     read = lambda name: json.loads((folder / name).read_text("utf-8")) if (folder / name).exists() else {}
     caches = [spark.createDataFrame(list(read(f"{n}.json").items()), f"{k} string, summary string") for n, k in (("summaries", "storyTxt"), ("event_summaries", "event_id"))]
     todo = digest.pending(chapters, caches[0], "storyTxt").select("storyTxt").distinct()
@@ -196,11 +205,11 @@ def package(work: Work) -> int:
     part = lambda name: files.filter(F.col("path").startswith(f"{ROOT}/gamedata/{name}/"))
     dist = work.path / "dist"
     assets = [
-        archives.write_archive(part("excel"), dist / "excel.zip"),
-        archives.write_archive(part("levels"), dist / "levels.zip"),
-        archives.write_archive(part("excel").union(part("story").filter(F.col("path").endswith(".json"))), dist / "story.zip"),
+        archives.write_archive(part("excel"), dist / release.REQUIRED_ASSETS[0]),
+        archives.write_archive(part("levels"), dist / release.REQUIRED_ASSETS[1]),
+        archives.write_archive(part("excel").union(part("story").filter(F.col("path").endswith(".json"))).union(files.filter(F.col("path").isin(*[f"{ROOT}/{n}" for n in INDEX_FILES]))), dist / release.REQUIRED_ASSETS[2]),
     ]
-    manifest = {"contractVersion": 1, **{n: work.record(n) for n in ("merge", "story", "summarize", "validation")}, "assets": {a["name"]: {"size": a["size"], "digest": f"sha256:{a['sha256']}"} for a in assets}}
+    manifest = {"contractVersion": 1, **{n: work.record(n) for n in ("merge", "story", "summarize", "validation")}, "assets": {a["name"]: {"size": a["size"], "sha256": a["sha256"]} for a in assets}}
     archives.write_json(dist / "manifest.json", manifest)
     return 0
 
@@ -230,6 +239,7 @@ def run(work: Work, force: bool = False, release_it: bool = False) -> int:
 def images_plan(hot_update: DataFrame, saved: DataFrame, old: dict | None, valid: DataFrame, index_version: str | None) -> dict[str, DataFrame | bool]:
     """What to fetch. hot_update and saved: bundle, hash; old: a checked state."""
     spark = valid.sparkSession
+    hot_update = hot_update.filter(is_art_bundle(F.col("bundle")))
     actions = state.bundle_actions(hot_update, saved)
     changed = actions.filter("action = 'download'").select("bundle")
     incremental = state.matches_index(old, index_version) and bool(valid.limit(1).count())
