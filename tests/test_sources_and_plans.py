@@ -134,6 +134,67 @@ def test_images_plan_and_package(spark, tmp_path):
     assert (second["added"], second["changed"], second["removed"], second["empty"], second["assets"][0]["files"]) == (1, 1, 0, False, 6)
 
 
+def decode(data):
+    """A stand-in decoder: lines of texture name, kind and PNG size."""
+    if data == b"broken":
+        raise ValueError("broken")
+    for line in data.decode().splitlines():
+        name, kind, w, h = line.split()
+        yield name, kind, png(int(w), int(h))
+
+
+def resized(content, w, h):
+    return png(w, h)
+
+
+def test_artwork_chain(spark, tmp_path):
+    from treeline.plans import artwork
+
+    excel = tmp_path / "candidate/zh_CN/gamedata/excel"
+    put(tmp_path, {"extract/hot_update_list.json": b'{"versionId":"v0","abInfos":[{"name":"chararts/a","hash":"1"},{"name":"skinpack/b","hash":"1"},{"name":"other/x","hash":"1"}]}'})
+    put(excel, {"character_table.json": b'{"char_1_a":{},"char_2_b":{}}', "skin_table.json": b'{"charSkins":{"char_1_a#1":{"charId":"char_1_a"},"char_2_b@s#1":{"charId":"char_2_b"},"token_1#1":{"charId":"char_1_a"}}}'})
+    put(tmp_path / "bundles", {"chararts_a.ab": b"char_1_a_1 Texture2D 9 9\nchar_1_a_1 Sprite 2048 1024\nchar_9_z_1 Sprite 1 1", "skinpack_b.ab": b"char_2_b_s#1 Sprite 50 50"})
+    work = factory.Work(spark, tmp_path)
+    assert artwork.run(work, decode, resized, release_it=True) == 0
+    index = json.loads((tmp_path / "images-prev/index.json").read_text())
+    assert set(index["artworks"]) == {"char_1_a#1", "char_2_b@s#1"} and index["artworks"]["char_1_a#1"]["large"]["w"] == 1024
+    assert work.record("images-package")["mode"] == "baseline" and (tmp_path / "registry/images-baseline-v0").exists()
+    state = json.loads((tmp_path / "images-prev/build-state.json").read_text())
+    assert state["bundleCandidates"]["chararts/a"] == ["char_1_a#1", "char_9_z#1"]
+    # A changed bundle, and a skin that is new to the tables but lies in an unchanged one.
+    put(tmp_path, {"extract/hot_update_list.json": b'{"versionId":"v1","abInfos":[{"name":"chararts/a","hash":"1"},{"name":"skinpack/b","hash":"2"}]}', "bundles/skinpack_b.ab": b"char_2_b_s#1 Sprite 60 60"})
+    put(excel, {"character_table.json": b'{"char_1_a":{},"char_2_b":{},"char_9_z":{}}', "skin_table.json": b'{"charSkins":{"char_1_a#1":{"charId":"char_1_a"},"char_2_b@s#1":{"charId":"char_2_b"},"char_9_z#1":{"charId":"char_9_z"}}}'})
+    assert artwork.run(work, decode, resized, release_it=True) == 0
+    plan, made = work.record("images-plan"), work.record("images-package")
+    assert plan["incremental"] and plan["downloadedBundles"] == ["chararts/a", "skinpack/b"] and plan["newSkinIds"] == ["char_9_z#1"]
+    assert (made["mode"], made["added"], made["changed"], made["removed"]) == ("delta", 1, 1, 0)
+    index = json.loads((tmp_path / "images-prev/index.json").read_text())
+    assert {k: a["sinceVersion"] for k, a in index["artworks"].items()} == {"char_1_a#1": "v0", "char_2_b@s#1": "v0", "char_9_z#1": "v1"} and index["baselineVersion"] == "v0"
+    # A failed bundle is planned again.
+    put(tmp_path, {"extract/hot_update_list.json": b'{"versionId":"v2","abInfos":[{"name":"chararts/a","hash":"9"},{"name":"skinpack/b","hash":"2"}]}', "bundles/chararts_a.ab": b"broken"})
+    assert artwork.run(work, decode, resized) == 1 and "chararts/a" not in work.record("images-hashes")
+    assert cli.main(["--workdir", str(tmp_path), "images-latest-tag"], spark) == 0
+
+
+def test_baseline_from_the_registry(spark, tmp_path):
+    from treeline.operators import release
+
+    put(tmp_path / "candidate", contract())
+    work = factory.Work(spark, tmp_path)
+    work.keep("merge", {"source": {"versionId": "v1"}})
+    assert factory.package(work) == 0 and factory.publish(work, True) == 0
+    assert factory.fetch_baseline(work) == 0
+    assert (tmp_path / "baseline/zh_CN/gamedata/excel/zone_table.json").read_bytes() == b"{}"
+    (tmp_path / "registry/data-v1/zh_CN-excel.zip").write_bytes(b"wrong")
+    assert factory.fetch_baseline(work) == 0  # it is there
+    with pytest.raises(ValueError, match="differs"):
+        factory.fetch_baseline(work, clobber=True)
+    for bad, match in (({"contractVersion": 9}, "contract"), ({"contractVersion": 1, "merge": {"source": {"versionId": "v2"}}}, "holds version")):
+        with pytest.raises(ValueError, match=match):
+            release.verify_manifest(bad, "data-v1", 1, {})
+    assert factory.fetch(factory.Work(spark, tmp_path / "none")) == 1
+
+
 def test_polling_runs_once_for_a_change(spark, tmp_path):
     lists, ran = tmp_path / "in", []
     lists.mkdir()

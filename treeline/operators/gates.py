@@ -48,6 +48,19 @@ def strict_json(tree: DataFrame, path: str = "path", content: str = "content") -
     return tree.select(F.col(path).cast("string").alias("p"), F.col(content).cast("binary").alias("c")).mapInArrow(run, "p string, valid boolean").withColumnRenamed("p", path)
 
 
+def extraction_problems(tree: DataFrame, server: str) -> DataFrame:
+    """problem: what an extraction lacks to be merged."""
+    has = lambda c: F.coalesce(F.bool_or(c), F.lit(False))
+    path = F.col("path")
+    found = tree.agg(
+        has(path.startswith(f"{server}/gamedata/")).alias("no gamedata directory"),
+        has(path.rlike(f"^{server}/gamedata/excel/[^/]+\\.json$")).alias("no excel tables"),
+        has(path.endswith("hot_update_list.json")).alias("no hot-update list"),
+    )
+    listed = F.array(*[F.when(~F.col(c), F.lit(c)) for c in found.columns])
+    return found.select(F.explode(F.array_compact(listed)).alias("problem"))
+
+
 def invalid_enum(records: DataFrame, key: str, value: str, prefixes: list[str]) -> DataFrame:
     """Records with a value that starts with none of the prefixes. Null is no value."""
     good = F.lit(False)

@@ -48,11 +48,29 @@ def mismatched_assets(local: DataFrame, remote: DataFrame, name: str = "name") -
     return local.join(r, name, "left").filter(~same).select(*local.columns)
 
 
+def asset_url(base: Column, platform: Column, version: Column, path: Column) -> Column:
+    return F.concat_ws("/", base, platform, F.lit("assets"), version, path)
+
+
 def upload_order(assets: DataFrame) -> DataFrame:
     """Smallest first."""
     return assets.orderBy("size", "name")
 
 
+def verify_manifest(manifest: dict | None, tag: str, contract: object, contents: dict[str, bytes]) -> None:
+    """Raise unless the manifest is of this contract and tag and has every content's size and hash. No manifest is tolerated."""
+    if manifest is None:
+        return
+    if manifest.get("contractVersion") != contract:
+        raise ValueError(f"contract {manifest.get('contractVersion')} is not {contract}")
+    version = ((manifest.get("merge") or {}).get("source") or {}).get("versionId")
+    if version and tag != f"data-{version}":
+        raise ValueError(f"{tag} holds version {version}")
+    for name, content in sorted(contents.items()):
+        wanted = (manifest.get("assets") or {}).get(name) or {}
+        verify_asset(name, content, wanted.get("size"), f"sha256:{wanted.get('sha256')}")
+
+
 def verify_asset(name: str, content: bytes, size: object, digest: object) -> None:
     """Raise unless the content has the size and the ``sha256:`` digest that the registry gives."""
     import hashlib

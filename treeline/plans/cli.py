@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import sys
 from pathlib import Path
 
 from ..session import session
-from . import factory
+from . import artwork, factory
 
 UNCHANGED = 2
 
@@ -18,7 +19,7 @@ def main(args: list[str] | None = None, spark=None) -> int:
     parser.add_argument("--server", default="cn")
     parser.add_argument("--master", default=None)
     commands = parser.add_subparsers(dest="command", required=True)
-    for name in ("check", "merge", "story", "summarize", "package", "images-latest-tag"):
+    for name in ("check", "fetch", "merge", "story", "summarize", "package", "images-latest-tag", "images-fetch", "images-variants", "images-package"):
         commands.add_parser(name)
     for name in ("validate", "run"):
         p = commands.add_parser(name)
@@ -28,7 +29,13 @@ def main(args: list[str] | None = None, spark=None) -> int:
         if name == "run":
             p.add_argument("--force", action="store_true")
             p.add_argument("--publish", action="store_true")
-    commands.add_parser("publish").add_argument("--execute", action="store_true")
+    for name in ("publish", "images-publish"):
+        commands.add_parser(name).add_argument("--execute", action="store_true")
+    commands.add_parser("baseline").add_argument("--clobber", action="store_true")
+    for name in ("images-extract", "images-run"):  # MODULE:FUNCTION takes a bundle's bytes and gives (name, kind, PNG) of its textures
+        p = commands.add_parser(name)
+        p.add_argument("--decoder", required=True)
+        p.add_argument("--publish", action="store_true")
     a = parser.parse_args(args)
     work = factory.Work(spark or session("treeline", a.master), Path(a.workdir), a.server)
     if a.command in ("validate", "run"):
@@ -48,7 +55,17 @@ def main(args: list[str] | None = None, spark=None) -> int:
         return factory.run(work, a.force, a.publish)
     if a.command == "publish":
         return factory.publish(work, a.execute)
-    return {"merge": factory.merge, "story": factory.convert_stories, "summarize": factory.summarize, "validate": factory.validate, "package": factory.package}[a.command](work)
+    if a.command == "baseline":
+        return factory.fetch_baseline(work, a.clobber)
+    if a.command == "images-publish":
+        return artwork.publish(work, a.execute)
+    if a.command in ("images-extract", "images-run"):
+        module, _, name = a.decoder.partition(":")
+        decode = getattr(importlib.import_module(module), name)
+        return artwork.extract(work, decode) if a.command == "images-extract" else artwork.run(work, decode, release_it=a.publish)
+    if a.command.startswith("images-"):
+        return {"images-fetch": artwork.fetch, "images-variants": artwork.make_variants, "images-package": artwork.package}[a.command](work)
+    return {"fetch": factory.fetch, "merge": factory.merge, "story": factory.convert_stories, "summarize": factory.summarize, "validate": factory.validate, "package": factory.package}[a.command](work)
 
 
 if __name__ == "__main__":

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ from ..sources import archives, tables, tree
 from ..sources.registry import Registry
 from .workers import importable
 
-ROOT = "zh_CN"
+ROOT, CONTRACT = "zh_CN", 1
 #: Files at the root that go with the stories.
 INDEX_FILES = ["extrastory.json", "chardict.json", "wordcount.json", "storyinfo.json", "summaries.json", "event_summaries.json"]
 
@@ -91,6 +92,51 @@ def check(work: Work) -> tuple[dict, bool]:
     return remote, remote.get("versionId") != (tags[0]["v"] if tags else None)
 
 
+def fetch(work: Work) -> int:
+    """Look over the landed extraction; downloading it is not of this engine."""
+    problems = [r["problem"] for r in gates.extraction_problems(work.tree("extract"), work.server).collect()]
+    work.keep("fetch", {"problems": problems})
+    return 1 if problems else 0
+
+
+def fetch_baseline(work: Work, clobber: bool = False) -> int:
+    """Unpack the latest complete release as the baseline, after its digests are verified. One that is there stays."""
+    target = work.path / "baseline"
+    if not clobber and all((target / ROOT / "gamedata/excel" / f).exists() for f in gates.REQUIRED_EXCEL):
+        return 0
+    registry = Registry(work.path / "registry")
+    found = release.complete(registry.releases(work.spark)).orderBy(F.desc("created")).limit(1).collect()
+    if not found:
+        return 0
+    tag, names = found[0]["tag"], release.REQUIRED_ASSETS[:3]
+    contents = {n: (registry.root / tag / n).read_bytes() for n in names}
+    manifest = registry.root / tag / release.REQUIRED_ASSETS[3]
+    release.verify_manifest(json.loads(manifest.read_text("utf-8")), tag, CONTRACT, contents)
+    packed = work.spark.createDataFrame([(i, bytearray(contents[n])) for i, n in enumerate(names)], "ord int, content binary")
+    staged = work.path / ".baseline"
+    shutil.rmtree(staged, ignore_errors=True)
+    staged.mkdir(parents=True)
+    write_tree(archives.read_archives(packed).withColumn("is_dir", F.lit(False)), staged)
+    archives.activate(staged, target)
+    return 0
+
+
+def provenance() -> dict:
+    """The versions that made a release."""
+    import platform
+    import subprocess
+
+    import pyspark
+
+    def git(*args: str) -> str | None:
+        try:
+            return subprocess.run(["git", "-C", str(Path(__file__).parent), *args], capture_output=True, text=True, check=True).stdout.strip()
+        except (OSError, subprocess.CalledProcessError):
+            return None
+
+    return {"python": platform.python_version(), "spark": pyspark.__version__, "pyarrow": pa.__version__, "commit": git("rev-parse", "HEAD"), "dirty": bool(git("status", "--porcelain"))}
+
+
 def merge(work: Work) -> int:
     """Normalize the extraction, lay it over the baseline, write the candidate."""
     fresh = overlay.normalize_layout(work.tree("extract"), work.server, ROOT)
@@ -209,7 +255,7 @@ def package(work: Work) -> int:
         archives.write_archive(part("levels"), dist / release.REQUIRED_ASSETS[1]),
         archives.write_archive(part("excel").union(part("story").filter(F.col("path").endswith(".json"))).union(files.filter(F.col("path").isin(*[f"{ROOT}/{n}" for n in INDEX_FILES]))), dist / release.REQUIRED_ASSETS[2]),
     ]
-    manifest = {"contractVersion": 1, **{n: work.record(n) for n in ("merge", "story", "summarize", "validation")}, "assets": {a["name"]: {"size": a["size"], "sha256": a["sha256"]} for a in assets}}
+    manifest = {"contractVersion": CONTRACT, "pipeline": provenance(), **{n: work.record(n) for n in ("merge", "story", "summarize", "validation")}, "assets": {a["name"]: {"size": a["size"], "sha256": a["sha256"]} for a in assets}}
     archives.write_json(dist / "manifest.json", manifest)
     return 0
 
@@ -226,7 +272,7 @@ def run(work: Work, force: bool = False, release_it: bool = False) -> int:
     _, changed = check(work)
     if not (changed or force):
         return 0
-    steps: list[Callable[[Work], int]] = [merge, convert_stories, summarize, validate, package]
+    steps: list[Callable[[Work], int]] = [fetch_baseline, fetch, merge, convert_stories, summarize, validate, package]
     for step in [*steps, *([lambda w: publish(w, True)] if release_it else [])]:
         if code := step(work):
             return code
