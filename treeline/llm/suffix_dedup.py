@@ -48,7 +48,7 @@ PLACE_BITS = 24  #: of a position beside its hash; pieces of text are shorter th
 PIECE = 1 << 22
 CHUNK, PART = 8 << 20, 8 << 20  #: bytes of text
 INDEXED = 128 << 10  #: bytes that one index holds; its tables then fit the cache
-SPREAD = 64  #: chunks with a minimizer beyond which its strings are dealt one by one
+SPREAD = 20_000  #: chunks with a minimizer beyond which its strings are dealt one by one; below it, they are a few MB of a part
 ALONE, SHARED, COMMON = 0, 1, 2
 NOWHERE = np.iinfo(np.int64).max
 RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
