@@ -125,11 +125,13 @@ def _groups(batches: Iterable[pa.RecordBatch], names: list[str]) -> Iterator[pa.
         yield pa.concat_tables(held).combine_chunks()
 
 
-def _blocked(rows: DataFrame, group: str, node: str) -> DataFrame:
-    """Deal the rows of each group to pairs of blocks (bi <= bj): every pair of rows meets in exactly one of them."""
-    n = F.count("*").over(Window.partitionBy(group))
-    blocks = F.ceil(n / BLOCK).cast("int")
-    dealt = rows.withColumn("nb", blocks).withColumn("b", F.pmod(F.xxhash64(node), F.col("nb")).cast("int"))
+def _blocked(rows: DataFrame, sizes: DataFrame, group: str, node: str) -> DataFrame:
+    """Deal the rows of each group to pairs of blocks (bi <= bj): every pair of rows meets in exactly one of them.
+
+    sizes: group, n. The join with it may be skewed on the side of the rows alone, so Spark splits a large group.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    dealt = rows.join(sizes, group).withColumn("nb", blocks).drop("n").withColumn("b", F.pmod(F.xxhash64(node), F.col("nb")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     return dealt.withColumn("bi", F.least("b", "other")).withColumn("bj", F.greatest("b", "other"))
 
@@ -168,8 +170,8 @@ def candidate_edges(texts: DataFrame, threshold: float) -> DataFrame:
     width = HASHES // BANDS * 2
     bands = F.array(*[F.xxhash64(F.lit(i), F.substring("sig", i * width + 1, width)) for i in range(BANDS)])
     met = texts.select("node", F.explode(bands).alias("bucket"))
-    met = met.withColumn("n", F.count("*").over(Window.partitionBy("bucket"))).filter("n > 1").drop("n")
-    met = _blocked(met, "bucket", "node").join(texts.select("node", "sig"), "node")
+    sizes = met.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    met = _blocked(met, sizes, "bucket", "node").join(texts.select("node", "sig"), "node")
     dealt = met.repartition("bucket", "bi", "bj").sortWithinPartitions("bucket", "bi", "bj", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,9 +241,10 @@ def intersections(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.nd
     return common[x, y].astype(np.int64)
 
 
-def verified(texts: DataFrame, threshold: float, size: int) -> DataFrame:
-    """node, links (documents linked in this block pair), root: exact work on the groups. texts: component, node, digest, sig, copies, t."""
-    dealt = _blocked(texts, "component", "node").repartition("component", "bi", "bj").sortWithinPartitions("component", "bi", "bj", "node")
+def verified(grouped: DataFrame, texts: DataFrame, threshold: float, size: int) -> DataFrame:
+    """node, links (documents linked in this block pair), root: exact work on the groups. grouped: component, node, rep, digest, sig, copies; texts: rep, t."""
+    sizes = grouped.groupBy("component").agg(F.count("*").alias("n"))
+    dealt = _blocked(grouped, sizes, "component", "node").join(texts, "rep").drop("rep").repartition("component", "bi", "bj").sortWithinPartitions("component", "bi", "bj", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in _groups(batches, ["component", "bi", "bj"]):
@@ -278,9 +281,9 @@ def _classified(docs: DataFrame, threshold: float, size: int, text: str, key: st
     distinct = some.groupBy("digest").agg(F.min(F.struct("k", "sig")).alias("m"), F.count("*").alias("copies"))
     distinct = written(distinct.select("digest", F.col("m.k").alias("rep"), F.col("m.sig").alias("sig"), "copies", F.monotonically_increasing_id().alias("node")), "ngram-texts")
     groups = components(candidate_edges(distinct, threshold)).select("node", "component")
-    grouped = groups.join(distinct, "node").select("component", "node", "rep", "digest", "sig", "copies")
+    grouped = written(groups.join(distinct, "node").select("component", "node", "rep", "digest", "sig", "copies"), "ngram-groups")
     texts = docs.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("t"))
-    found = written(verified(grouped.join(texts, "rep").drop("rep"), threshold, size), "ngram-links")
+    found = written(verified(grouped, texts, threshold, size), "ngram-links")
     linked = found.groupBy("node").agg(F.sum("links").alias("links"))
     placed = distinct.join(linked, "node", "left").join(components(found.select(F.col("node").alias("u"), F.col("root").alias("v"))), "node", "left")
     placed = placed.select("digest", "node", "rep", "copies", "links", F.coalesce("component", "node").alias("component"))
