@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from treeline.llm import decontaminate
 
@@ -59,3 +60,29 @@ def test_common_subsequence():
             for j, y in enumerate(b):
                 last, table[j + 1] = table[j + 1], last + 1 if x == y else max(table[j + 1], table[j])
         assert decontaminate.common_subsequence(np.array(a, np.uint64), np.array(b, np.uint64)) == table[-1]
+
+
+def rows_of(texts):
+    return [(i, t, "en", "a", 1, "k", 1, "x") for i, t in enumerate(texts)]
+
+
+def paraphrase(item):
+    """Keeps the end of the item and no 8 words in a row."""
+    words = item.split()
+    return " ".join(w for j, w in enumerate(words) if j % 6 or j > len(words) - 6)
+
+
+@pytest.mark.parametrize("copies", ["document", "passage"])
+def test_an_item_in_a_third_of_the_rows_is_found_elsewhere(spark, copies):
+    rng = random.Random(4)
+    items = [(i, prose(rng, 30)) for i in range(6)]
+    hot = f"{prose(rng, 20)} {items[0][1]} {prose(rng, 20)}"
+    texts = [prose(rng, 80) for _ in range(200)]
+    texts += [hot if copies == "document" else f"{prose(rng, 20)} {items[0][1]} {prose(rng, 20)}" for _ in range(120)]
+    want = {(k, 0) for k in range(200, 320)}
+    for k in range(40):
+        item = items[k % 6 if k < 12 else 0]
+        want.add((len(texts), item[0]))
+        texts.append(f"{prose(rng, 33)} {paraphrase(item[1]) if k % 2 else item[1]} {prose(rng, 31)}")
+    found = decontaminate.contaminated(frame(spark, rows_of(texts)), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == want

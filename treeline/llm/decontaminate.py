@@ -1,10 +1,13 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-TF-IDF weights come from document frequencies over the whole corpus, in ``BUCKETS`` hashed words. A randomised SVD of
-TF-IDF passages, distributed over the rows, gives a latent basis; it is fitted on a bounded sample of about
-``SAMPLE`` passages of the corpus and on all benchmark items. The first directions, which hold what all texts of a
-language have in common, are left out. Every window of every document is projected (differences of prefix sums)
-and compared by cosine with the items of its length class. Candidates are decided by the longest common
+Passages are taken once each, however often the corpus repeats them, and without the verbatim parts of items: TF-IDF
+weights come from the frequencies of ``BUCKETS`` hashed words in all of them. A randomised SVD of TF-IDF passages,
+distributed over the rows, gives a latent basis; it is fitted on a bounded sample of about ``SAMPLE`` passages of the
+corpus and as many benchmark items. Those of the ``COMMON`` first directions that many items have a part in hold what all texts of a language have in common and
+are left out; a passage that many documents repeat is not.
+Every window of every document is projected (differences of prefix sums)
+and compared by cosine with the items of its length class; runs of ``GRAM`` words of an item, found by their hashes, make candidates as well,
+whatever their coordinates. Candidates are decided by the longest common
 subsequence of words of the item and the window with its surroundings, and by the item's closing words, which
 stand for its answer: a paraphrase counts with a shorter common subsequence if the answer is there.
 
@@ -23,11 +26,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
-from .text_arrays import Words, slices
+from .text_arrays import Words, mixed, slices, span_hashes
 
 BUCKETS, RANK, COMMON = 1 << 15, 64, 4
 SAMPLE, PASSAGE = 20_000, 64
+CUT, TOGETHER = 32, 128  #: one pair of words in so many ends a passage; passages to a matrix product
+SHARED, SHARED_PART = 8, 0.05  #: items, and part of all items, that have a part in a common direction
+GRAM = 8  #: words of an item that, found verbatim, make a candidate
 ITEMS = 20_000
 SIZES = (16, 32, 64)  #: words in a window; windows overlap by half
 COSINE = 0.5  #: of a candidate
@@ -42,24 +49,114 @@ def _buckets(hashes: np.ndarray) -> np.ndarray:
     return (hashes % np.uint64(BUCKETS)).astype(np.int64)
 
 
-def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, int, int]:
-    """In how many documents each bucket occurs, the number of documents and of words. BUCKETS numbers reach the driver."""
+class Grams:
+    """Where runs of ``size`` words stand: a table from their hashes to (item, place in the item)."""
+
+    def __init__(self, size: int, items: list[np.ndarray], places: list[list[int]]):
+        self.size = size
+        item = np.repeat(np.arange(len(items)), [len(p) for p in places])
+        place = np.array([at for p in places for at in p], np.int64)
+        hashes = np.concatenate([np.zeros(0, np.uint64), *(span_hashes(w, np.array(p, np.int64), np.array(p, np.int64) + size) for w, p in zip(items, places, strict=True) if p)])
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.item, self.place = hashes[order], item[order], place[order]
+        self.some = np.zeros(1 << 20, bool)
+        self.some[self.hashes >> np.uint64(44)] = True
+
+    def find(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, position in words, row of the table) of every occurrence within one text."""
+        starts = np.arange(max(0, len(words.hashes) - self.size + 1))
+        hashes = span_hashes(words.hashes, starts, starts + self.size)
+        at = np.flatnonzero(self.some[hashes >> np.uint64(44)])
+        first, last = (np.searchsorted(self.hashes, hashes[at], side) for side in ("left", "right"))
+        text = np.searchsorted(words.offsets, at, "right") - 1
+        count = np.where(at + self.size <= words.offsets[text + 1], last - first, 0)
+        row = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+        return np.repeat(text, count), np.repeat(at, count), row
+
+
+def _places(n: int) -> list[int]:
+    """Where runs of GRAM words begin that cover n words."""
+    return sorted({*range(0, n - GRAM + 1, GRAM), n - GRAM}) if n >= GRAM else []
+
+
+def _known(items: DataFrame, text: str) -> Grams:
+    words = [w.hashes for r in _slim(items, text).distinct().toLocalIterator() for w in [Words([r["t"]])]]
+    return Grams(GRAM, words, [_places(len(w)) for w in words])
+
+
+def corpus_passages(docs: DataFrame, known: Grams, text: str) -> DataFrame:
+    """The distinct passages of the corpus, as ``b``: buckets of words in order, two bytes each.
+
+    A passage ends where the hash of two words says so, or after PASSAGE words, so that what documents share gives the
+    same passages wherever it stands in them. Verbatim parts of items are left out, as the items come by themselves.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, n, total = np.zeros(BUCKETS, np.int64), 0, 0
         for batch in batches:
             texts = batch["t"].to_pylist()
             for part in slices([len(t) for t in texts]):
                 words = Words(texts[part])
-                owner = np.repeat(np.arange(len(texts[part])), np.diff(words.offsets))
-                pair = np.unique(owner * BUCKETS + _buckets(words.hashes))
-                seen += np.bincount(pair % BUCKETS, minlength=BUCKETS)
-                n, total = n + len(texts[part]), total + len(words.hashes)
+                h = words.hashes
+                if not len(h):
+                    continue
+                begins = np.zeros(len(h) + 1, bool)
+                begins[words.offsets] = True
+                begins[2:-1] |= mixed(h[:-2] * np.uint64(3) + h[1:-1]) % np.uint64(CUT) == 0
+                _, at, _ = known.find(words)
+                inside = np.cumsum(np.bincount(at, minlength=len(h) + GRAM) - np.bincount(at + GRAM, minlength=len(h) + GRAM))[: len(h)] > 0
+                begins[1:-1] |= inside[1:] != inside[:-1]
+                first = np.flatnonzero(begins[:-1])
+                place = np.arange(len(h)) - np.repeat(first, np.diff(np.append(first, len(h))))
+                first = np.flatnonzero((place % PASSAGE == 0)[~inside])
+                data = _buckets(h[~inside]).astype(np.uint16)
+                if len(data):
+                    ends = np.append(first, len(data)).astype(np.int32) * 2
+                    yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(data)])], ["b"])
+
+    return _slim(docs, text).mapInArrow(run, "b binary").distinct()
+
+
+def item_passages(items: DataFrame, text: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [_buckets(Words([t]).hashes).astype(np.uint16) for t in batch["t"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([w[i : i + PASSAGE].tobytes() for w in own for i in range(0, len(w), PASSAGE)], pa.binary())], ["b"])
+
+    return _slim(items, text).mapInArrow(run, "b binary").distinct()
+
+
+def _counts(batch: pa.RecordBatch) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Some passages at a time: their rows, the buckets they hold and how often each passage holds each (dense, for BLAS)."""
+    column = batch["b"]
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1] // 2
+    data = np.frombuffer(column.buffers()[2], np.uint16)
+    place = np.zeros(BUCKETS, np.int64)
+    for begin in range(0, len(column), TOGETHER):
+        some = slice(begin, min(begin + TOGETHER, len(column)))
+        flat = data[offsets[some.start] : offsets[some.stop]]
+        used = np.zeros(BUCKETS, bool)
+        used[flat] = True
+        held = np.flatnonzero(used)
+        place[held] = np.arange(len(held))
+        n = some.stop - some.start
+        owner = np.repeat(np.arange(n), np.diff(offsets[some.start : some.stop + 1]))
+        yield some, held, np.bincount(owner * len(held) + place[flat], minlength=n * len(held)).reshape(n, -1)
+
+
+def passage_frequencies(passages: DataFrame) -> tuple[np.ndarray, int, int]:
+    """In how many passages each bucket occurs, the number of passages and of words. BUCKETS numbers reach the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, n, total = np.zeros(BUCKETS, np.int64), 0, 0
+        for batch in batches:
+            for _, held, counts in _counts(batch):
+                seen[held] += (counts > 0).sum(axis=0)
+                n, total = n + len(counts), total + int(counts.sum())
         some = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(some, [-1, -2])), pa.array(np.append(seen[some], [n, total]))], ["bucket", "n"])
 
     out, n, total = np.zeros(BUCKETS, np.int64), 0, 0
-    for row in _slim(docs, text).mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toLocalIterator():
+    for row in passages.mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toLocalIterator():
         if row["bucket"] >= 0:
             out[row["bucket"]] = row["n"]
         elif row["bucket"] == -1:
@@ -69,46 +166,29 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[np.ndarra
     return out, n, total
 
 
-def _sketch(rows: list[np.ndarray], idf: np.ndarray, probe: np.ndarray, scale: np.ndarray) -> np.ndarray:
-    """A'(A probe) for unit TF-IDF rows given as buckets, each times a scale."""
-    out = np.zeros_like(probe)
-    for begin in range(0, len(rows), 500):
-        some = rows[begin : begin + 500]
-        flat, owner = np.concatenate(some), np.repeat(np.arange(len(some)), [len(r) for r in some])
-        key, back = np.unique(owner * BUCKETS + flat, return_inverse=True)
-        owner, column, value = key // BUCKETS, key % BUCKETS, np.bincount(back) * idf[key % BUCKETS]
-        value = value / np.sqrt(np.bincount(owner, value**2, len(some)))[owner] * scale[begin : begin + 500][owner]
-        first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-        y = np.add.reduceat(probe[column] * value[:, None], first)
-        order = np.argsort(column, kind="stable")
-        column, part = column[order], (y[owner] * value[:, None])[order]
-        first = np.flatnonzero(np.append(True, column[1:] != column[:-1]))
-        out[column[first]] += np.add.reduceat(part, first)
-    return out
-
-
-def latent_basis(docs: DataFrame, items: DataFrame, idf: np.ndarray, words_in_all: int, text: str, item_text: str, seed: int = 5) -> np.ndarray:
-    """idf-weighted coordinates of every bucket (BUCKETS x RANK), from randomised subspace iterations."""
+def latent_basis(corpus: DataFrame, items: DataFrame, idf: np.ndarray, words_in_all: int, seed: int = 5) -> np.ndarray:
+    """idf-weighted coordinates of every bucket (BUCKETS x RANK), from randomised subspace iterations over passages."""
     share = min(1.0, SAMPLE * PASSAGE / max(1, words_in_all))
-    sample = _slim(docs.filter(F.rand(seed) < share) if share < 1 else docs, text).withColumn("w", F.lit(1.0))
+    sample = corpus.filter(F.rand(seed) < share) if share < 1 else corpus
     # A tenth of the weight falls to the items together, but to none so much that it makes a direction of its own among the first.
     passages, n = min(SAMPLE, words_in_all / PASSAGE), max(1, items.count())
     weight = math.sqrt(max(1.0, min(0.1 * passages / n, 0.003 * passages)))
-    both = sample.union(_slim(items.filter(F.rand(seed) < F.lit(SAMPLE / n)), item_text).withColumn("w", F.lit(weight)))
-    both = both.repartition(8)
+    sample = sample.withColumn("w", F.sqrt(F.length("b") / F.lit(2.0 * PASSAGE)))  # weight goes by words
+    both = sample.union(items.filter(F.rand(seed) < F.lit(SAMPLE / n)).withColumn("w", F.lit(weight))).repartition(8)
     width = RANK + COMMON + 8
 
     def pass_over(probe: np.ndarray) -> np.ndarray:
+        """A'(A probe) for TF-IDF rows A, of the length w."""
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros_like(probe)
             for batch in batches:
-                texts, w = batch["t"].to_pylist(), batch["w"].to_pylist()
-                for part in slices([len(t) for t in texts]):
-                    words = Words(texts[part])
-                    rows = [(_buckets(own[i : i + PASSAGE]), w[part][k]) for k in range(len(texts[part])) for own in [words.of(k)] for i in range(0, len(own), PASSAGE)]
-                    rows = [r for r in rows if (idf[r[0]] > 0).any()]
-                    if rows:
-                        total += _sketch([r for r, _ in rows], idf, probe, np.array([s for _, s in rows], np.float32))
+                w = batch["w"].to_numpy(zero_copy_only=False)
+                for some, held, counts in _counts(batch):
+                    a = counts * idf[held]
+                    a *= (w[some] / np.maximum(np.sqrt(np.einsum("ij,ij->i", a, a)), 1e-9))[:, None]
+                    a = a.astype(np.float32)
+                    total[held] += a.T @ (a @ probe[held])
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["m"])
 
         out = np.zeros_like(probe)
@@ -121,7 +201,26 @@ def latent_basis(docs: DataFrame, items: DataFrame, idf: np.ndarray, words_in_al
     image = pass_over(basis.astype(np.float32))
     values, turn = np.linalg.eigh(basis.T @ image)
     order = np.argsort(-values)
-    return ((basis @ turn[:, order[COMMON : COMMON + RANK]]) * idf[:, None]).astype(np.float32)
+    common = order[:COMMON][_shared(items, idf, (basis @ turn[:, order[:COMMON]]).astype(np.float32))]
+    order = order[~np.isin(order, common)]
+    return ((basis @ turn[:, order[:RANK]]) * idf[:, None]).astype(np.float32)
+
+
+def _shared(items: DataFrame, idf: np.ndarray, directions: np.ndarray) -> np.ndarray:
+    """Which directions many items have a part in: Σ²(c²) / Σ(c⁴) of their coordinates c is near their number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, held, counts in _counts(batch):
+                a = counts * idf[held]
+                c = (a / np.maximum(np.sqrt(np.einsum("ij,ij->i", a, a)), 1e-9)[:, None]) @ directions[held]
+                yield pa.RecordBatch.from_arrays([pa.array(range(COMMON), pa.int32()), pa.array([len(c)] * COMMON, pa.int64()), pa.array((c**2).sum(axis=0), pa.float64()), pa.array((c**4).sum(axis=0), pa.float64())], ["d", "n", "s2", "s4"])
+
+    found = items.mapInArrow(run, "d int, n long, s2 double, s4 double").groupBy("d").agg(*[F.sum(x).alias(x) for x in ("n", "s2", "s4")])
+    out = np.zeros(COMMON, bool)
+    for r in found.collect():
+        out[r["d"]] = r["s4"] > 0 and r["s2"] ** 2 / r["s4"] >= max(SHARED, SHARED_PART * r["n"])
+    return out
 
 
 def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
@@ -144,6 +243,7 @@ class Matcher:
         words = Words([t or "" for _, t in items])
         self.words = [words.of(i) for i in range(len(items))]
         self.basis, self.passages = basis, {}
+        self.grams = Grams(GRAM, self.words, [_places(len(w)) for w in self.words])
         for size in SIZES:
             chosen = [(i, w[at : at + size]) for i, w in enumerate(self.words) if len(w) and self._size(len(w)) == size for at in range(0, max(1, len(w) - size // 2), size)]
             vectors = np.array([basis[_buckets(w)].sum(axis=0) for _, w in chosen], np.float32).reshape(-1, basis.shape[1])
@@ -163,6 +263,7 @@ class Matcher:
         sums = np.zeros((len(words.hashes) + 1, self.basis.shape[1]), np.float32)
         np.cumsum(self.basis[_buckets(words.hashes)], axis=0, out=sums[1:])
         best: dict[tuple[int, int], tuple[float, float]] = {}
+        self._verbatim(words, sums, best)
         for size in SIZES:
             owner, vectors = self.passages[size]
             if not len(owner):
@@ -189,6 +290,22 @@ class Matcher:
                         best[pair] = share, c
         return [(t, i, share, c) for (t, i), (share, c) in best.items()]
 
+    def _verbatim(self, words: Words, sums: np.ndarray, best: dict[tuple[int, int], tuple[float, float]]) -> None:
+        """Candidates that hold GRAM words of an item in a row, whatever their coordinates."""
+        text, at, row = self.grams.find(words)
+        for t, i, begin in np.unique(np.stack([text, self.grams.item[row], at - self.grams.place[row]], axis=1), axis=0).tolist():
+            pair, item = (t, i), self.words[i]
+            if pair in best and best[pair][0] >= WHOLE:
+                continue
+            low, high, reach = words.offsets[t], words.offsets[t + 1], len(item) // 2
+            share = self.decide(item, words.hashes[max(begin - reach, low) : min(begin + len(item) + reach, high)])
+            if share and share > best.get(pair, (0.0, 0.0))[0]:
+                best[pair] = share, self._cosine(item, sums[min(begin + len(item), high)] - sums[max(begin, low)])
+
+    def _cosine(self, item: np.ndarray, v: np.ndarray) -> float:
+        own = self.basis[_buckets(item)].sum(axis=0)
+        return float(own @ v / max(1e-9, np.linalg.norm(own) * np.linalg.norm(v)))
+
     @staticmethod
     def decide(item: np.ndarray, region: np.ndarray) -> float | None:
         share = common_subsequence(item, region) / len(item)
@@ -201,12 +318,14 @@ class Matcher:
 
 
 def _matchers(docs: DataFrame, benchmark: DataFrame, text: str, item_key: str, item_text: str) -> Iterator[Matcher]:
-    seen, n, total = document_frequencies(docs, text)
-    idf = np.log((1 + n) / (1 + seen)).astype(np.float32)
     blocks = -(-benchmark.count() // ITEMS)
     if not blocks:
         return
-    basis = latent_basis(docs, benchmark, idf, total, text, item_text)
+    corpus = corpus_passages(docs, _known(benchmark, item_text), text).persist(StorageLevel.DISK_ONLY)
+    seen, n, total = passage_frequencies(corpus)
+    idf = np.log((1 + n) / (1 + seen)).astype(np.float32)
+    basis = latent_basis(corpus, item_passages(benchmark, item_text), idf, total)
+    corpus.unpersist()
     for b in range(blocks):
         part = benchmark.filter(F.pmod(F.xxhash64(item_key, item_text), F.lit(blocks)) == b) if blocks > 1 else benchmark
         yield Matcher([(r[0], r[1]) for r in part.select(item_key, item_text).toLocalIterator()], basis)
