@@ -86,3 +86,12 @@ def test_an_item_in_a_third_of_the_rows_is_found_elsewhere(spark, copies):
         texts.append(f"{prose(rng, 33)} {paraphrase(item[1]) if k % 2 else item[1]} {prose(rng, 31)}")
     found = decontaminate.contaminated(frame(spark, rows_of(texts)), spark.createDataFrame(items, "item_id long, text string"))
     assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == want
+
+
+def test_every_item_is_in_the_basis(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SAMPLE", 4, raising=False)
+    rng = random.Random(6)
+    items = [(i, " ".join(f"only{i}x{rng.randrange(40)}" for _ in range(30))) for i in range(40)]
+    texts = [prose(rng, 80) for _ in range(60)] + [f"{prose(rng, 33)} {paraphrase(t)} {prose(rng, 31)}" for _, t in items]
+    found = decontaminate.contaminated(frame(spark, rows_of(texts)), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(60 + i, i) for i in range(40)}

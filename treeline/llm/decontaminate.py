@@ -2,8 +2,8 @@
 
 Passages are taken once each, however often the corpus repeats them, and without the verbatim parts of items: TF-IDF
 weights come from the frequencies of ``BUCKETS`` hashed words in all of them. A randomised SVD of TF-IDF passages,
-distributed over the rows, gives a latent basis; it is fitted on a bounded sample of about ``SAMPLE`` passages of the
-corpus and as many benchmark items. Those of the ``COMMON`` first directions that many items have a part in hold what all texts of a language have in common and
+distributed over the rows, gives a latent basis; both of its passes read all of these passages and all benchmark items.
+Those of the ``COMMON`` first directions that many items have a part in hold what all texts of a language have in common and
 are left out; a passage that many documents repeat is not.
 Every window of every document is projected (differences of prefix sums)
 and compared by cosine with the items of its length class; runs of ``GRAM`` words of an item, found by their hashes, make candidates as well,
@@ -31,7 +31,7 @@ from pyspark.storagelevel import StorageLevel
 from .text_arrays import Words, mixed, slices, span_hashes
 
 BUCKETS, RANK, COMMON = 1 << 15, 64, 4
-SAMPLE, PASSAGE = 20_000, 64
+PASSAGE = 64
 CUT, TOGETHER = 32, 128  #: one pair of words in so many ends a passage; passages to a matrix product
 SHARED, SHARED_PART = 8, 0.05  #: items, and part of all items, that have a part in a common direction
 GRAM = 8  #: words of an item that, found verbatim, make a candidate
@@ -168,13 +168,12 @@ def passage_frequencies(passages: DataFrame) -> tuple[np.ndarray, int, int]:
 
 def latent_basis(corpus: DataFrame, items: DataFrame, idf: np.ndarray, words_in_all: int, seed: int = 5) -> np.ndarray:
     """idf-weighted coordinates of every bucket (BUCKETS x RANK), from randomised subspace iterations over passages."""
-    share = min(1.0, SAMPLE * PASSAGE / max(1, words_in_all))
-    sample = corpus.filter(F.rand(seed) < share) if share < 1 else corpus
     # A tenth of the weight falls to the items together, but to none so much that it makes a direction of its own among the first.
-    passages, n = min(SAMPLE, words_in_all / PASSAGE), max(1, items.count())
+    passages, n = words_in_all / PASSAGE, max(1, items.count())
     weight = math.sqrt(max(1.0, min(0.1 * passages / n, 0.003 * passages)))
-    sample = sample.withColumn("w", F.sqrt(F.length("b") / F.lit(2.0 * PASSAGE)))  # weight goes by words
-    both = sample.union(items.filter(F.rand(seed) < F.lit(SAMPLE / n)).withColumn("w", F.lit(weight))).repartition(8)
+    tasks = max(8, 2 * corpus.sparkSession.sparkContext.defaultParallelism)  # each makes one matrix
+    both = corpus.withColumn("w", F.sqrt(F.length("b") / F.lit(2.0 * PASSAGE)))  # weight goes by words
+    both = both.union(items.withColumn("w", F.lit(weight))).coalesce(tasks)
     width = RANK + COMMON + 8
 
     def pass_over(probe: np.ndarray) -> np.ndarray:
@@ -191,8 +190,16 @@ def latent_basis(corpus: DataFrame, items: DataFrame, idf: np.ndarray, words_in_
                     total[held] += a.T @ (a @ probe[held])
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["m"])
 
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros_like(probe)
+            for batch in batches:
+                for m in batch["m"]:
+                    total += np.frombuffer(m.as_buffer(), probe.dtype).reshape(probe.shape)
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["m"])
+
         out = np.zeros_like(probe)
-        for row in both.mapInArrow(run, "m binary").toLocalIterator():  # 8 matrices of a fixed size, one at a time
+        sums = both.mapInArrow(run, "m binary").repartition(math.ceil(math.sqrt(tasks))).mapInArrow(add, "m binary")
+        for row in sums.toLocalIterator():  # matrices of a fixed size, one at a time
             out += np.frombuffer(row["m"], probe.dtype).reshape(probe.shape)
         return out
 
