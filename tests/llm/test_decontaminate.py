@@ -95,3 +95,15 @@ def test_every_item_is_in_the_basis(spark, monkeypatch):
     texts = [prose(rng, 80) for _ in range(60)] + [f"{prose(rng, 33)} {paraphrase(t)} {prose(rng, 31)}" for _, t in items]
     found = decontaminate.contaminated(frame(spark, rows_of(texts)), spark.createDataFrame(items, "item_id long, text string"))
     assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(60 + i, i) for i in range(40)}
+
+
+def test_short_items_are_found(spark):
+    rng = random.Random(8)
+    items = [(10 * n + j, " ".join(f"{rng.choice('abcdefgh')}{rng.randrange(40)}zz" for _ in range(n))) for n in range(1, 16) for j in range(4)]
+    texts = [prose(rng, 80) for _ in range(60)] + [f"{prose(rng, 41)} {t} {prose(rng, 38)}" for _, t in items]
+    found = decontaminate.contaminated(frame(spark, rows_of(texts)), spark.createDataFrame(items, "item_id long, text string"))
+    found = {(r["doc_id"], r["item_id"]): r["lcs_ratio"] for r in found.collect()}
+    want = {(60 + k, i) for k, (i, _) in enumerate(items)}
+    held = {(d, i) for d, t in enumerate(texts) for i, x in items if f" {x} " in f" {t} "}
+    assert want <= held <= set(found)
+    assert all(found[pair] == 1 for pair in held)

@@ -14,7 +14,7 @@ stand for its answer: a paraphrase counts with a shorter common subsequence if t
 Benchmarks of more than ``ITEMS`` items are taken in blocks of about that size.
 
 Edge cases: null texts and texts without words match nothing. Items without words are passed over; items of fewer
-than 8 words must be there as a whole. Equal items and repeated rows all give rows. An empty benchmark gives none.
+than 8 words must be there as a whole, and are found by a hash of all their words. Equal items and repeated rows all give rows. An empty benchmark gives none.
 """
 
 from __future__ import annotations
@@ -59,14 +59,15 @@ class Grams:
         hashes = np.concatenate([np.zeros(0, np.uint64), *(span_hashes(w, np.array(p, np.int64), np.array(p, np.int64) + size) for w, p in zip(items, places, strict=True) if p)])
         order = np.argsort(hashes, kind="stable")
         self.hashes, self.item, self.place = hashes[order], item[order], place[order]
-        self.some = np.zeros(1 << 20, bool)
-        self.some[self.hashes >> np.uint64(44)] = True
+        bits = min(22, (1024 + 16 * len(hashes)).bit_length())
+        self.some, self.shift = np.zeros(1 << bits, bool), np.uint64(64 - bits)
+        self.some[self.hashes >> self.shift] = True
 
     def find(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, position in words, row of the table) of every occurrence within one text."""
         starts = np.arange(max(0, len(words.hashes) - self.size + 1))
         hashes = span_hashes(words.hashes, starts, starts + self.size)
-        at = np.flatnonzero(self.some[hashes >> np.uint64(44)])
+        at = np.flatnonzero(self.some[hashes >> self.shift])
         first, last = (np.searchsorted(self.hashes, hashes[at], side) for side in ("left", "right"))
         text = np.searchsorted(words.offsets, at, "right") - 1
         count = np.where(at + self.size <= words.offsets[text + 1], last - first, 0)
@@ -251,6 +252,7 @@ class Matcher:
         self.words = [words.of(i) for i in range(len(items))]
         self.basis, self.passages = basis, {}
         self.grams = Grams(GRAM, self.words, [_places(len(w)) for w in self.words])
+        self.short = [Grams(n, self.words, [[0] if len(w) == n else [] for w in self.words]) for n in sorted({len(w) for w in self.words}) if 0 < n < GRAM]
         for size in SIZES:
             chosen = [(i, w[at : at + size]) for i, w in enumerate(self.words) if len(w) and self._size(len(w)) == size for at in range(0, max(1, len(w) - size // 2), size)]
             vectors = np.array([basis[_buckets(w)].sum(axis=0) for _, w in chosen], np.float32).reshape(-1, basis.shape[1])
@@ -298,7 +300,12 @@ class Matcher:
         return [(t, i, share, c) for (t, i), (share, c) in best.items()]
 
     def _verbatim(self, words: Words, sums: np.ndarray, best: dict[tuple[int, int], tuple[float, float]]) -> None:
-        """Candidates that hold GRAM words of an item in a row, whatever their coordinates."""
+        """Short items as a whole, and candidates that hold GRAM words of an item in a row, whatever their coordinates."""
+        for grams in self.short:
+            text, at, row = grams.find(words)
+            pairs, first = np.unique(np.stack([text, grams.item[row]], axis=1), axis=0, return_index=True)
+            for (t, i), begin in zip(pairs.tolist(), at[first].tolist(), strict=True):
+                best[t, i] = 1.0, self._cosine(self.words[i], sums[begin + grams.size] - sums[begin])
         text, at, row = self.grams.find(words)
         for t, i, begin in np.unique(np.stack([text, self.grams.item[row], at - self.grams.place[row]], axis=1), axis=0).tolist():
             pair, item = (t, i), self.words[i]
