@@ -107,3 +107,14 @@ def test_short_items_are_found(spark):
     held = {(d, i) for d, t in enumerate(texts) for i, x in items if f" {x} " in f" {t} "}
     assert want <= held <= set(found)
     assert all(found[pair] == 1 for pair in held)
+
+
+@pytest.mark.parametrize("copies", [1, 5])
+@pytest.mark.parametrize("form", [str, paraphrase])
+def test_a_table_of_one_text(spark, copies, form):
+    item = prose(random.Random(3), 30)
+    docs = frame(spark, rows_of([form(item)] * copies))
+    benchmark = spark.createDataFrame([(7, item)], "item_id long, text string")
+    found = decontaminate.contaminated(docs, benchmark).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(k, 7) for k in range(copies)]
+    assert decontaminate.without_contaminated(docs, benchmark).count() == 0

@@ -1,7 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Passages are taken once each, however often the corpus repeats them, and without the verbatim parts of items: TF-IDF
-weights come from the frequencies of ``BUCKETS`` hashed words in all of them. A randomised SVD of TF-IDF passages,
+weights come from the frequencies of ``BUCKETS`` hashed words in all of them, and are above zero for words that all hold, so
+that tables of one text work as well. A randomised SVD of TF-IDF passages,
 distributed over the rows, gives a latent basis; both of its passes read all of these passages and all benchmark items.
 Those of the ``COMMON`` first directions that many items have a part in hold what all texts of a language have in common and
 are left out; a passage that many documents repeat is not.
@@ -211,6 +212,7 @@ def latent_basis(corpus: DataFrame, items: DataFrame, idf: np.ndarray, words_in_
     order = np.argsort(-values)
     common = order[:COMMON][_shared(items, idf, (basis @ turn[:, order[:COMMON]]).astype(np.float32))]
     order = order[~np.isin(order, common)]
+    order = order[: max(1, int((values[order] > 1e-5 * values.max()).sum()))]  # small tables have fewer directions
     return ((basis @ turn[:, order[:RANK]]) * idf[:, None]).astype(np.float32)
 
 
@@ -337,7 +339,7 @@ def _matchers(docs: DataFrame, benchmark: DataFrame, text: str, item_key: str, i
         return
     corpus = corpus_passages(docs, _known(benchmark, item_text), text).persist(StorageLevel.DISK_ONLY)
     seen, n, total = passage_frequencies(corpus)
-    idf = np.log((1 + n) / (1 + seen)).astype(np.float32)
+    idf = np.log((2 + n) / (1 + seen)).astype(np.float32)
     basis = latent_basis(corpus, item_passages(benchmark, item_text), idf, total)
     corpus.unpersist()
     for b in range(blocks):
