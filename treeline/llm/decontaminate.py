@@ -33,11 +33,12 @@ from .text_arrays import Words, mixed, slices, span_hashes
 
 BUCKETS, RANK, COMMON = 1 << 15, 64, 4
 PASSAGE = 64
-CUT, TOGETHER = 32, 128  #: one pair of words in so many ends a passage; passages to a matrix product
+CUT, TOGETHER = 32, 24  #: one pair of words in so many ends a passage; passages to a matrix product
 SHARED, SHARED_PART = 8, 0.05  #: items, and part of all items, that have a part in a common direction
 GRAM = 8  #: words of an item that, found verbatim, make a candidate
 ITEMS = 20_000
 SIZES = (16, 32, 64)  #: words in a window; windows overlap by half
+BLOCK = 8  #: words that are summed at once; it divides half of each size
 COSINE = 0.5  #: of a candidate
 WHOLE, PARAPHRASE, ANSWER_WORDS, ANSWER = 0.7, 0.5, 5, 0.8
 
@@ -186,9 +187,8 @@ def latent_basis(corpus: DataFrame, items: DataFrame, idf: np.ndarray, words_in_
             for batch in batches:
                 w = batch["w"].to_numpy(zero_copy_only=False)
                 for some, held, counts in _counts(batch):
-                    a = counts * idf[held]
-                    a *= (w[some] / np.maximum(np.sqrt(np.einsum("ij,ij->i", a, a)), 1e-9))[:, None]
-                    a = a.astype(np.float32)
+                    a = counts.astype(np.float32) * idf[held]
+                    a *= (w[some] / np.maximum(np.sqrt(np.einsum("ij,ij->i", a, a)), 1e-9)).astype(np.float32)[:, None]
                     total[held] += a.T @ (a @ probe[held])
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["m"])
 
@@ -271,10 +271,9 @@ class Matcher:
         n = np.diff(words.offsets)
         if not len(words.hashes):
             return []
-        sums = np.zeros((len(words.hashes) + 1, self.basis.shape[1]), np.float32)
-        np.cumsum(self.basis[_buckets(words.hashes)], axis=0, out=sums[1:])
+        blocks, sums = self._sums(words, n)
         best: dict[tuple[int, int], tuple[float, float]] = {}
-        self._verbatim(words, sums, best)
+        self._verbatim(words, best)
         for size in SIZES:
             owner, vectors = self.passages[size]
             if not len(owner):
@@ -282,10 +281,13 @@ class Matcher:
             step = size // 2
             count = np.where(n > 0, np.maximum(1, -(-(n - step) // step)), 0)
             text = np.repeat(np.arange(len(n)), count)
-            begin = words.offsets[:-1][text] + (np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)) * step
+            at = (np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)) * step
+            begin = words.offsets[:-1][text] + at
             end = np.minimum(begin + size, words.offsets[1:][text])
+            first = blocks[:-1][text] + at // BLOCK
+            last = np.minimum(first + size // BLOCK, blocks[1:][text])
             for a in range(0, len(text), 8192):
-                v = sums[end[a : a + 8192]] - sums[begin[a : a + 8192]]
+                v = sums[last[a : a + 8192]] - sums[first[a : a + 8192]]
                 norms = np.sqrt(np.einsum("ij,ij->i", v, v))
                 cosines = v @ vectors.T
                 w, p = np.nonzero(cosines >= COSINE * np.maximum(norms, 1e-6)[:, None])
@@ -301,13 +303,28 @@ class Matcher:
                         best[pair] = share, c
         return [(t, i, share, c) for (t, i), (share, c) in best.items()]
 
-    def _verbatim(self, words: Words, sums: np.ndarray, best: dict[tuple[int, int], tuple[float, float]]) -> None:
+    def _sums(self, words: Words, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first block of BLOCK words of each text, and prefix sums of the coordinates over blocks."""
+        blocks = np.zeros(len(n) + 1, np.int64)
+        np.cumsum(-(-n // BLOCK), out=blocks[1:])
+        text = np.repeat(np.arange(len(n)), np.diff(blocks))
+        begin = words.offsets[:-1][text] + (np.arange(len(text)) - blocks[text]) * BLOCK
+        left = words.offsets[1:][text] - begin
+        buckets = np.append(_buckets(words.hashes), np.zeros(BLOCK, np.int64))
+        total = self.basis[buckets[begin]]
+        for j in range(1, BLOCK):
+            total += self.basis[buckets[begin + j]] * (left > j)[:, None]
+        sums = np.zeros((len(total) + 1, total.shape[1]), np.float32)
+        np.cumsum(total, axis=0, out=sums[1:])
+        return blocks, sums
+
+    def _verbatim(self, words: Words, best: dict[tuple[int, int], tuple[float, float]]) -> None:
         """Short items as a whole, and candidates that hold GRAM words of an item in a row, whatever their coordinates."""
         for grams in self.short:
             text, at, row = grams.find(words)
             pairs, first = np.unique(np.stack([text, grams.item[row]], axis=1), axis=0, return_index=True)
             for (t, i), begin in zip(pairs.tolist(), at[first].tolist(), strict=True):
-                best[t, i] = 1.0, self._cosine(self.words[i], sums[begin + grams.size] - sums[begin])
+                best[t, i] = 1.0, self._cosine(self.words[i], words.hashes[begin : begin + grams.size])
         text, at, row = self.grams.find(words)
         for t, i, begin in np.unique(np.stack([text, self.grams.item[row], at - self.grams.place[row]], axis=1), axis=0).tolist():
             pair, item = (t, i), self.words[i]
@@ -316,10 +333,10 @@ class Matcher:
             low, high, reach = words.offsets[t], words.offsets[t + 1], len(item) // 2
             share = self.decide(item, words.hashes[max(begin - reach, low) : min(begin + len(item) + reach, high)])
             if share and share > best.get(pair, (0.0, 0.0))[0]:
-                best[pair] = share, self._cosine(item, sums[min(begin + len(item), high)] - sums[max(begin, low)])
+                best[pair] = share, self._cosine(item, words.hashes[max(begin, low) : min(begin + len(item), high)])
 
-    def _cosine(self, item: np.ndarray, v: np.ndarray) -> float:
-        own = self.basis[_buckets(item)].sum(axis=0)
+    def _cosine(self, item: np.ndarray, window: np.ndarray) -> float:
+        own, v = (self.basis[_buckets(w)].sum(axis=0) for w in (item, window))
         return float(own @ v / max(1e-9, np.linalg.norm(own) * np.linalg.norm(v)))
 
     @staticmethod
