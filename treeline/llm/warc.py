@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from .shared_store import new_folder, open_file, put_file, written
 
 GAP, SPAN = 64 << 10, 8 << 20  #: ranges at most GAP apart are read together, up to SPAN bytes
+READ = 32 << 20  #: bytes of archives that a task reads
 INDEX = "record_id long, file string, offset long, length long, url string, digest string, record_type string"
 STAMP = "2000-01-01T00:00:00Z"  #: records are dated so, that a repeated task writes the same bytes
 
@@ -107,7 +108,11 @@ def coalesced(ranges: Iterable[tuple[str, int, int]]) -> Iterator[tuple[str, int
 
 def read_records(selected: DataFrame, payloads: bool = False) -> DataFrame:
     """Read the records that an index names. Returns record_id, file, offset, url, payload_bytes, payload_digest, record_type, refers_to, and payload if asked for."""
-    places = selected.select("record_id", "file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    places = selected.select("record_id", "file", "offset", "length")
+    # The index is small whatever it points to, so tasks are counted by the bytes and records that they read, not by its own size.
+    total = places.agg(F.sum("length").alias("bytes"), F.count("*").alias("records")).first()
+    tasks = max(-(-(total["bytes"] or 0) // READ), min(-(-total["records"] // 100), selected.sparkSession.sparkContext.defaultParallelism), 1)
+    places = places.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     schema = "record_id long, file string, offset long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", payload binary" * payloads
     arrow = pa.schema([("record_id", pa.int64()), ("file", pa.string()), ("offset", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), *[("payload", pa.binary())] * payloads])
 
@@ -125,8 +130,11 @@ def read_records(selected: DataFrame, payloads: bool = False) -> DataFrame:
                     rec = parse(gzip.decompress(data[at - begin : at - begin + n]))
                     head = rec["headers"]
                     refers = head.get("WARC-Refers-To", "").removeprefix("<urn:page:").rstrip(">")
-                    out.append({"record_id": next(ids), "file": name, "offset": at, "url": head["WARC-Target-URI"], "payload_bytes": rec["payload_bytes"], "payload_digest": head["WARC-Payload-Digest"].removeprefix("sha1:"), "record_type": head["WARC-Type"], "refers_to": int(refers) if refers not in ("", "None") else None, "payload": rec["payload"]})
-                    if head["WARC-Type"] == "response" and base64.b32encode(hashlib.sha1(rec["payload"]).digest()).decode() != out[-1]["payload_digest"]:
+                    digest, kind = head["WARC-Payload-Digest"].removeprefix("sha1:"), head["WARC-Type"]
+                    place = {"record_id": next(ids), "file": name, "offset": at, "url": head["WARC-Target-URI"]}
+                    body = {"payload_bytes": rec["payload_bytes"], "payload_digest": digest, "payload": rec["payload"]}
+                    out.append(place | body | {"record_type": kind, "refers_to": int(refers) if refers not in ("", "None") else None})
+                    if kind == "response" and base64.b32encode(hashlib.sha1(rec["payload"]).digest()).decode() != digest:
                         raise ValueError(f"{name} at {at}: the payload doesn't have its digest")
                 yield pa.RecordBatch.from_pylist(out, schema=arrow)
 
