@@ -4,6 +4,7 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from treeline.llm import mixing
 
@@ -58,3 +59,23 @@ def test_sql_agrees(spark):
     want = sorted(c.sql(f"select doc_id, copy, n_copies from ({mixing.REPLICATE_SQL})").fetchall())
     got = mixing.replicate(spark.read.parquet(path)).select("doc_id", "__mix_copy", "__mix_n").collect()
     assert sorted(map(tuple, got)) == want
+
+
+def test_sql_agrees_on_repeated_and_null_ids(spark, tmp_path):
+    docs = frame(spark).select("doc_id", "text", "lang", "source", "n_chars")
+    docs.union(docs.filter("doc_id > 3")).write.parquet(str(tmp_path / "documents.parquet"))
+    c = duckdb.connect()
+    c.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = Counter(c.sql(f"select doc_id, text, copy, n_copies from ({mixing.REPLICATE_SQL})").fetchall())
+    got = mixing.replicate(spark.read.parquet(str(tmp_path / "documents.parquet"))).select("doc_id", "text", "__mix_copy", "__mix_n").collect()
+    assert Counter(map(tuple, got)) == want
+
+
+def test_clashing_names_and_rows_without_ids(spark):
+    names = ["doc_id", "source", "__mix_n0", "__mix_source", "__mix_place", "__mix_cdf", "__mix_parts", "__mix_rows", "__mix_rate"]
+    docs = spark.range(4000).selectExpr("cast(null as long) as doc_id", "'a' as source", *[f"id as {x}" for x in names[2:]])
+    made = mixing.replicate(docs, budget=12000.0)
+    assert made.columns == [*names, "__mix_copy", "__mix_n"]
+    where = Counter(r[0] for r in made.select(F.spark_partition_id()).collect())
+    assert len(where) > 1 or made.rdd.getNumPartitions() == 1
+    assert max(where.values()) < 0.9 * sum(where.values()) or len(where) == 1

@@ -10,13 +10,14 @@ far from underflow; nothing is capped.
 
 Edge cases: a null source is a source of its own; a source without a target weight gets none; the weights of
 sources without rows fall to the others in proportion. Rows with the same id and source get the same count, as
-the hash is of the id; null ids hash as the string ``null``. Texts may be null, empty or of any length. An
-empty table gives an empty one. Column names of the input may clash with nothing: working columns start with
-``__mix_``.
+the hash is of the id; null ids hash as the string ``null``. Copies of equal rows go to the same partition. Texts may be
+null, empty or of any length. An empty table gives an empty one. Column names of the input clash with nothing.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,21 +63,25 @@ def replicate(
     docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = 0.5, budget: float | None = None, seed: int = 7, key: str = "doc_id", source: str = "source", shuffled: bool = True
 ) -> DataFrame:
     """All columns of each copy, and __mix_copy (from 0), __mix_n (copies of the row). ``budget``: rows wanted in all, as many as there are by default."""
-    table = rates(docs, weights, temperature, budget, source)
+    named = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    rows = docs.select(*[F.col(f"`{c}`").alias(x) for c, x in named.items()])  # names of the input can't clash
+    table = rates(docs.select(F.col(f"`{source}`").alias("source")), weights, temperature, budget, "source")
     parts = F.greatest(F.ceil(F.col("__mix_rate") / STEP), F.lit(1)).cast("int")
     table = table.select("__mix_source", parts.alias("__mix_parts"), _cdf(F.col("__mix_rate") / parts).alias("__mix_cdf"))
     known = table.limit(BROADCAST_SOURCES + 1).count()
     table = F.broadcast(table) if known <= BROADCAST_SOURCES else table.hint("merge")
-    joined = docs.join(table, docs[source].eqNullSafe(table["__mix_source"]))
-    name = F.coalesce(F.col(key).cast("string"), F.lit("null"))
+    joined = rows.join(table, rows[named[source]].eqNullSafe(table["__mix_source"]))
+    name = F.coalesce(F.col(named[key]).cast("string"), F.lit("null"))
     u = lambda i: uniform(F.lit(str(seed)), i.cast("string"), name)
     count = F.aggregate(F.sequence(F.lit(1), F.col("__mix_parts")), F.lit(0), lambda n, i: n + F.size(F.filter("__mix_cdf", lambda c: c <= u(i))))
     counted = joined.withColumn("__mix_n", count).filter("__mix_n > 0").drop("__mix_source", "__mix_parts", "__mix_cdf")
     copies = counted.withColumn("__mix_copy", F.explode(F.sequence(F.lit(0), F.col("__mix_n") - 1)))
-    if not shuffled:
-        return copies
-    place = F.xxhash64(F.lit(seed), name, F.col("__mix_copy"))
-    return copies.withColumn("__mix_place", place).repartition(F.col("__mix_place")).sortWithinPartitions("__mix_place").drop("__mix_place")
+    if shuffled:
+        # Rows without an id have places by all that they hold, so many of them don't meet in one partition.
+        held = [x for c, x in named.items() if not re.search("map<|variant", docs.schema[c].dataType.simpleString())]
+        place = F.xxhash64(F.lit(seed), name, F.col("__mix_copy"), F.when(F.col(named[key]).isNull(), F.xxhash64(*held)))
+        copies = copies.withColumn("__mix_place", place).repartition(F.col("__mix_place")).sortWithinPartitions("__mix_place")
+    return copies.select(*named.values(), "__mix_copy", "__mix_n").toDF(*docs.columns, "__mix_copy", "__mix_n")
 
 
 #: The same for DuckDB: weights by square root of rows, as many rows as there are, seed 7. TERMS ends the recursion.
@@ -89,9 +94,9 @@ cdf as (select source, s, 0 as k, exp(-s) as p, exp(-s) as c from step
         union all select source, s, k + 1, p * s / cast(k + 1 as double), c + p * s / cast(k + 1 as double) from cdf where k < {TERMS}),
 tab as (select source, list(c order by k) as cs from cdf group by source),
 draw as (select d.doc_id, d.source, i.i, cast(('0x' || substr(md5('7:' || i.i || ':' || coalesce(cast(d.doc_id as varchar), 'null')), 1, 13)) as bigint) / 4503599627370496e0 as u
-         from documents d join step s on d.source is not distinct from s.source, lateral (select unnest(range(1, s.parts + 1)) as i) i),
+         from (select distinct doc_id, source from documents) d join step s on d.source is not distinct from s.source, lateral (select unnest(range(1, s.parts + 1)) as i) i),
 hit as (select draw.doc_id, draw.source, draw.i, len(list_filter(tab.cs, lambda x: x <= draw.u)) as n from draw join tab on draw.source is not distinct from tab.source),
 cnt as (select doc_id, source, cast(sum(n) as integer) as n from hit group by doc_id, source)
 select d.doc_id, d.text, d.lang, d.source, d.n_chars, cast(c.i as integer) as copy, cnt.n as n_copies
-from documents d join cnt on d.doc_id = cnt.doc_id and d.source is not distinct from cnt.source, lateral (select unnest(range(0, cnt.n)) as i) c
+from documents d join cnt on d.doc_id is not distinct from cnt.doc_id and d.source is not distinct from cnt.source, lateral (select unnest(range(0, cnt.n)) as i) c
 """
