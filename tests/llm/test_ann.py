@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from treeline.llm import ann
@@ -38,3 +39,22 @@ def test_bounds_hold():
     codes = ann.Codes(x, x.mean(axis=0), ann.rotation(64, 3))
     about, wrong = codes.estimate(q)
     assert (np.abs(about - q @ x.T) <= wrong).mean() > 0.97
+
+
+def test_recall_and_reranked_share(monkeypatch):
+    """Recall against brute force, and the share of pairs whose scores are computed, on a whole table."""
+    table = pq.read_table("/root/testdata/sf0.1/embeddings.parquet")
+    v, ids = np.array(table["embedding"].to_pylist(), np.float64), table["vec_id"].to_numpy()
+    asked = ids % 20 == 0
+    picked = []
+    union = np.union1d
+    monkeypatch.setattr(np, "union1d", lambda a, b: picked.append(len(union(a, b))) or union(a, b))
+    found = ann.nearest_in_block(ids[asked], v[asked], [np.array([i]) for i in ids], v, 20, v.mean(axis=0), ann.rotation(v.shape[1], 11))
+    hits = 0
+    for q in ids[asked]:
+        score = v @ v[ids == q][0]
+        best = [i for i in ids[np.lexsort((ids, -score))] if i != q][:20]
+        hits += len({i for a, i, _ in found if a == q} & set(best))
+    recall, share = hits / (20 * asked.sum()), sum(picked) / (asked.sum() * len(v))
+    print(f"recall {recall:.4f}, reranked {share:.3f}")
+    assert recall >= 0.97 and share < 0.5

@@ -3,8 +3,9 @@
 A vector less the mean of all is rotated at random; the signs of its coordinates, packed into 64-bit words,
 are its code, and two scalars correct it: its length, and the inner product of its direction with its code.
 From the bits of a code and the bit planes of a query (its rotated coordinates in 8 bits), popcounts estimate
-the inner product, with an error bound that holds with high probability. Vectors whose upper bound reaches
-the k-th best lower bound are reranked with the original components in double precision.
+the inner product, with an error bound that holds with high probability. The ``LIKELY`` * k vectors with the largest estimates
+are scored in double precision with the original components; the k-th best of these scores is the floor that the upper bounds of
+others must reach to be scored so too.
 
 All queries meet all vectors, in blocks of bounded size; a pair of blocks is a task's work and returns k rows a
 query. Equal vectors are searched once: of each, the k + 1 smallest ids stand for all.
@@ -27,6 +28,7 @@ from .shared_store import written
 
 VECTOR_BLOCK, QUERY_BLOCK = 16_384, 4_096
 BOUND = 2.5  #: standard errors in the bound
+LIKELY = 8  #: times k vectors are scored for the floor
 PLANES = 8  #: bits of a query's coordinates
 
 
@@ -81,9 +83,12 @@ def nearest_in_block(query_ids: np.ndarray, queries: np.ndarray, ids: list[np.nd
     for begin in range(0, len(queries), 256):
         part = queries[begin : begin + 256]
         about, wrong = codes.estimate(part)
-        floor = np.partition(about - wrong, len(vectors) - want, axis=1)[:, len(vectors) - want]
+        first = len(vectors) - min(LIKELY * want, len(vectors))
+        likely = np.argpartition(about, first, axis=1)[:, first:] if first else np.tile(np.arange(len(vectors)), (len(part), 1))
         for i, q in enumerate(part):
-            pick = np.flatnonzero(about[i] + wrong[i] >= floor[i])
+            # Exact scores of the likeliest bound the last of the best from below, closer than the codes' own bounds.
+            floor = -np.partition(-np.einsum("ij,j->i", vectors[likely[i]], q), want - 1)[want - 1]
+            pick = np.union1d(likely[i], np.flatnonzero(about[i] + wrong[i] >= floor))
             score = np.einsum("ij,j->i", vectors[pick], q)
             order = np.lexsort((lead[pick], -score))[:want]
             me = int(query_ids[begin + i])
