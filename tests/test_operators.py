@@ -221,6 +221,39 @@ def test_checked_state():
     for k, v in (("schemaVersion", "x"), ("versionId", ""), ("bundleHashes", {}), ("bundleHashes", {"b": 1}), ("bundleCandidates", {"b": "s"}), ("validSkinIds", []), ("validSkinIds", [1])):
         assert state.checked_state(good | {k: v}) is None
     assert state.checked_state([]) is None and not state.matches_index(None, "v")
+    for k, v in (("bundleHashes", {}), ("bundleCandidates", {}), ("validSkinIds", [])):
+        assert state.checked_state(good | {k: v}, may_be_empty=True) == good | {k: v}
+    for k, v in (("bundleHashes", {"b": ""}), ("bundleHashes", []), ("validSkinIds", [""]), ("validSkinIds", {})):
+        assert state.checked_state(good | {k: v}, may_be_empty=True) is None
+
+
+def test_bundles_that_are_gone_keep_no_candidates(spark):
+    pairs = spark.createDataFrame([("b1", "s1"), ("gone", "s9")], "bundle string, skin_id string")
+    new = spark.createDataFrame([("gone", "s8"), ("b2", "s2")], "bundle string, skin_id string")
+    processed = spark.createDataFrame([("gone",), ("b2",)], "bundle string")
+    assert rows(state.next_candidates(pairs, new, col(spark, ["b1", "b2"]), processed)) == [("b1", "s1"), ("b2", "s2")]
+
+
+def test_manifest_versions():
+    release.verify_manifest({"contractVersion": "c", "source": {"versionId": "v1"}}, "data-v1", "c", {})
+    release.verify_manifest({"contractVersion": "c", "source": {}}, "upstream-v1", "c", {})
+    for source in ({}, {"versionId": "v2"}, []):
+        with pytest.raises(ValueError):
+            release.verify_manifest({"contractVersion": "c", "source": source}, "data-v1", "c", {})
+
+
+def test_a_model_is_asked_again_after_a_while(spark, tmp_path):
+    log = str(tmp_path / "calls")
+
+    def model(text):
+        with open(log, "a") as f:
+            f.write("x")
+        if len(open(log).read()) < 3:
+            raise OSError("busy")
+        return "done"
+
+    found = digest.summarize(spark.createDataFrame([("k", "t")], "k string, t string"), "k", "t", model, wait=0.05).collect()
+    assert [(r["summary"], r["error"]) for r in found] == [("done", None)]
 
 
 def test_valid_skins(spark):

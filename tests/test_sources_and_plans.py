@@ -1,10 +1,11 @@
 import json
+import struct
 import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
-from treeline.plans import cli, factory
+from treeline.plans import artwork, cli, factory
 from treeline.sources import archives, tables, tree
 from treeline.sources.registry import Registry
 from treeline.streaming import poll
@@ -210,3 +211,31 @@ def test_probe_files(spark, tmp_path):
     config = tmp_path / "c.json"
     config.write_text('{"operators":["a"],"events":["e"]}')
     assert factory.loaded_probes(factory.Work(spark, tmp_path), config, {"operators": ["c"]}) == {"operators": ["b", "c"], "events": ["e"]}
+
+
+def test_a_baseline_without_levels_is_fetched_again(spark, tmp_path):
+    put(tmp_path / "candidate", contract())
+    work = factory.Work(spark, tmp_path)
+    work.keep("merge", {"source": {"versionId": "v1"}})
+    assert factory.package(work) == 0 and factory.publish(work, True) == 0
+    for half in (False, True):
+        put(tmp_path / "baseline", {k: v for k, v in contract().items() if "/excel/" in k})
+        if half:
+            (tmp_path / "baseline/zh_CN/gamedata/levels/enemydata/enemy_database.json").unlink()
+        assert factory.fetch_baseline(work) == 0
+        assert (tmp_path / "baseline/zh_CN/gamedata/levels/enemydata/enemy_database.json").is_file()
+
+
+def test_images_index_and_unchanged_version(spark, tmp_path):
+    work = factory.Work(spark, tmp_path)
+    put(tmp_path / "extract", {"cn/gamedata/excel/hot_update_list.json": b'{"versionId": "v1", "abInfos": []}'})
+    put(tmp_path / "images-prev", {"index.json": b'{"currentVersion": "v1"}'})
+    assert artwork.run(work, lambda b: []) == 0 and not (tmp_path / "images-plan.json").exists()
+    excel = "candidate/zh_CN/gamedata/excel"
+    put(tmp_path / excel, {"skin_table.json": b'{"charSkins": {"char_1_a#1": {"charId": "char_1_a"}, "char_1_a#2": {"charId": "char_1_a"}}}', "character_table.json": b'{"char_1_a": {}}'})
+    png = b"\x89PNG\r\n\x1a\n" + struct.pack(">I4sII", 13, b"IHDR", 30, 20)
+    put(tmp_path / "images", {"char_1_a#1.original.png": png, "char_9_z#1.original.png": png})
+    assert artwork.build_index(work) == 0
+    assert work.record("images-index") == {"entries": 1, "skipped": ["char_9_z#1"], "missing": ["char_1_a#2"]}
+    made = json.loads((tmp_path / "images-index/index.json").read_text())["artworks"]["char_1_a#1"]
+    assert (made["original"]["w"], made["original"]["h"], made["kind"]) == (30, 20, "base")

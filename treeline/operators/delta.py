@@ -47,6 +47,12 @@ def delta_files(index: DataFrame, changes: DataFrame, files: DataFrame, key: str
     return wanted.join(files.select("file", F.lit(True).alias("__f")).distinct(), "file", "left").select(key, "tier", "file", F.coalesce("__f", F.lit(False)).alias("found"))
 
 
+def package_counts(changes: DataFrame) -> DataFrame:
+    """Changes by kind, as one row."""
+    n = lambda kind: F.count_if(F.col("change") == kind).alias(kind)
+    return changes.agg(n("added"), n("changed"), n("removed"))
+
+
 def is_empty(changes: DataFrame) -> bool:
     """Whether there is nothing to release; removals alone are nothing."""
     return not changes.filter(F.col("change").isin("added", "changed")).limit(1).count()

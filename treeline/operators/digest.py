@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -80,6 +81,17 @@ def event_texts(parts: DataFrame) -> DataFrame:
     return grouped.select("event_id", "parts", F.when(F.col("parts") <= 1, F.substring(F.col("p")[0]["body"], 1, SHORT)).otherwise(joined).alias("text"))
 
 
+def chapter_prompt(event: Column, code: Column, name: Column, tag: Column, text: Column) -> Column:
+    """What a model is asked about a chapter; a chapter without dialogue asks nothing."""
+    head = F.concat(F.lit("Event: "), event, F.lit("\nChapter: "), F.concat_ws(" ", F.nullif(code, F.lit("")), name), F.lit("\nPart: "), F.coalesce(F.nullif(tag, F.lit("")), F.lit("-")))
+    return F.when(F.trim(text) != "", F.concat(F.lit("Summarise this chapter in its own language.\n"), head, F.lit("\n\n"), text))
+
+
+def event_prompt(event: Column, text: Column) -> Column:
+    """What a model is asked about an event, from the texts of its chapters."""
+    return F.concat(F.lit("Summarise this event in its own language.\nEvent: "), event, F.lit("\n\n"), text)
+
+
 def extractive(text: str) -> str:
     """The summariser without a model: the first lines, up to SHORT characters."""
     out = ""
@@ -90,8 +102,8 @@ def extractive(text: str) -> str:
     return out[:SHORT]
 
 
-def summarize(rows: DataFrame, key: str, text: str, model: Callable[[str], str] = extractive, attempts: int = 4) -> DataFrame:
-    """key, summary, error. A failure is retried, then a row of its own; at most MAX_CONCURRENT tasks call the model."""
+def summarize(rows: DataFrame, key: str, text: str, model: Callable[[str], str] = extractive, attempts: int = 4, wait: float = 0.0) -> DataFrame:
+    """key, summary, error. A failure is retried after ``wait`` seconds, twice as many each time, then a row of its own; at most MAX_CONCURRENT tasks call the model."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,12 +112,14 @@ def summarize(rows: DataFrame, key: str, text: str, model: Callable[[str], str]
                 result = error = None
                 if not (t or "").strip():
                     result = NO_DIALOGUE
-                for _ in range(attempts if result is None else 0):
+                for attempt in range(attempts if result is None else 0):
                     try:
                         result, error = model(t), None
                         break
                     except Exception as e:  # noqa: BLE001  the model is anyone's
                         error = f"{type(e).__name__}: {e}"
+                        if attempt < attempts - 1:
+                            time.sleep(wait * 2**attempt)
                 out.append(result)
                 errors.append(error)
             yield pa.RecordBatch.from_arrays([batch["k"], pa.array(out, pa.string()), pa.array(errors, pa.string())], ["k", "summary", "error"])
@@ -114,6 +128,11 @@ def summarize(rows: DataFrame, key: str, text: str, model: Callable[[str], str]
     return slim.mapInArrow(run, "k string, summary string, error string").withColumnRenamed("k", key)
 
 
+def sparse_object(*counts: str) -> Column:
+    """A JSON text of counts, without zeros."""
+    return F.to_json(F.struct(*[F.nullif(F.col(c), F.lit(0)).alias(c) for c in counts]), {"ignoreNullFields": "true"})
+
+
 def sparse_stats(stats: DataFrame) -> DataFrame:
     """One JSON text without zero counts."""
-    return stats.select(F.to_json(F.struct(*[F.nullif(F.col(c), F.lit(0)).alias(c) for c in stats.columns]), {"ignoreNullFields": "true"}).alias("stats"))
+    return stats.select(sparse_object(*stats.columns).alias("stats"))

@@ -14,8 +14,9 @@ from ..functions.records import WRAPPED, record_count
 SCHEMA = "gate string, severity string, subject string, message string"
 PROBE_ROWS = 10_000  #: probes that are matched by substring in one pass
 #: Fixed values of the release contract.
-REQUIRED_EXCEL = ["character_table.json", "handbook_info_table.json", "charword_table.json", "story_review_table.json", "enemy_handbook_table.json", "zone_table.json", "stage_table.json", "item_table.json"]
+REQUIRED_EXCEL = ["character_table.json", "handbook_info_table.json", "charword_table.json", "story_review_table.json", "enemy_handbook_table.json", "stage_table.json", "zone_table.json", "item_table.json"]
 REQUIRED_LEVELS = ["gamedata/levels/enemydata/enemy_database.json"]
+REQUIRED_STORY = ["gamedata/excel/story_review_table.json", "storyinfo.json"]
 TRACKED = ["character_table.json", "stage_table.json", "item_table.json", "enemy_handbook_table.json", "story_review_table.json"]
 ROOTS = ["gamedata/excel", "gamedata/levels", "gamedata/story"]
 DROP_RATIO = 0.05

@@ -63,9 +63,11 @@ def verify_manifest(manifest: dict | None, tag: str, contract: object, contents:
         return
     if manifest.get("contractVersion") != contract:
         raise ValueError(f"contract {manifest.get('contractVersion')} is not {contract}")
-    version = ((manifest.get("merge") or {}).get("source") or {}).get("versionId")
-    if version and tag != f"data-{version}":
-        raise ValueError(f"{tag} holds version {version}")
+    source = manifest["source"] if "source" in manifest else (manifest.get("merge") or {}).get("source") or {}
+    if not isinstance(source, dict):
+        raise ValueError("the manifest's source is no object")
+    if tag.startswith("data-") and tag != f"data-{source.get('versionId')}":
+        raise ValueError(f"{tag} holds version {source.get('versionId')}")
     for name, content in sorted(contents.items()):
         wanted = (manifest.get("assets") or {}).get(name) or {}
         verify_asset(name, content, wanted.get("size"), f"sha256:{wanted.get('sha256')}")

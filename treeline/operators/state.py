@@ -71,21 +71,21 @@ def merge_incremental(previous: DataFrame, partial: DataFrame, valid: DataFrame,
 
 def next_candidates(previous: DataFrame, extracted: DataFrame, current: DataFrame, processed: DataFrame) -> DataFrame:
     """Candidates of bundles that still exist, those of processed bundles anew."""
-    kept = previous.join(current.select("bundle"), "bundle", "left_semi").join(processed.select("bundle"), "bundle", "left_anti")
-    return kept.select("bundle", "skin_id").union(extracted.select("bundle", "skin_id")).distinct()
+    kept = previous.join(processed.select("bundle"), "bundle", "left_anti").select("bundle", "skin_id")
+    return kept.union(extracted.select("bundle", "skin_id")).join(current.select("bundle"), "bundle", "left_semi").distinct()
 
 
-def checked_state(raw: object) -> dict | None:
-    """A state as read from JSON, or None (build everything) if any part isn't as it must be."""
+def checked_state(raw: object, may_be_empty: bool = False) -> dict | None:
+    """A state as read from JSON, or None (build everything) if any part isn't as it must be. A saved one ``may_be_empty``: no bundles, no valid skins."""
     if not isinstance(raw, dict) or raw.get("schemaVersion") != VERSION or not (isinstance(raw.get("versionId"), str) and raw["versionId"]):
         return None
     hashes, candidates, valid = raw.get("bundleHashes"), raw.get("bundleCandidates"), raw.get("validSkinIds")
     text = lambda x: isinstance(x, str) and x != ""
-    if not isinstance(hashes, dict) or not hashes or not all(text(k) and text(v) for k, v in hashes.items()):
+    if not isinstance(hashes, dict) or not (hashes or may_be_empty) or not all(text(k) and text(v) for k, v in hashes.items()):
         return None
     if not isinstance(candidates, dict) or not all(text(k) and isinstance(v, list) and all(map(text, v)) for k, v in candidates.items()):
         return None
-    return raw if isinstance(valid, list) and valid and all(map(text, valid)) else None
+    return raw if isinstance(valid, list) and (valid or may_be_empty) and all(map(text, valid)) else None
 
 
 def matches_index(state: dict | None, index_version: str | None) -> bool:

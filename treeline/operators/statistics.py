@@ -34,3 +34,15 @@ def ratio_by(rows: DataFrame, group: str, part: str, whole: str) -> DataFrame:
 
 def top_by(rows: DataFrame, order: list, limit: int = 10) -> DataFrame:
     return rows.orderBy(*order).limit(limit)
+
+
+def top_per(rows: DataFrame, group: list[str], order: list, limit: int = 10) -> DataFrame:
+    """The first rows of each group; each task hands on that many of a group at most."""
+    from pyspark.sql import Window
+
+    return rows.withColumn("__n", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).filter(F.col("__n") <= limit).drop("__n")
+
+
+def totals(rows: DataFrame, group: str, size: str) -> DataFrame:
+    """group, n, total."""
+    return rows.groupBy(group).agg(F.count("*").alias("n"), F.sum(size).alias("total"))

@@ -12,14 +12,15 @@ from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from ..functions.text import cache_name
 from ..operators import art, delta, state
 from ..sources import archives, tables
 from ..sources.registry import Registry
-from .factory import ROOT, Work, images_index, images_package, images_plan
+from .factory import ROOT, Work, images_index, images_package, images_plan, write_tree
 
 T = "struct<file:string,w:int,h:int,bytes:bigint,sha256:string>"
 ENTRIES = f"skin_id string, kind string, shard string, original {T}, large {T}, preview {T}, since_version string"
@@ -63,7 +64,7 @@ def fetch(work: Work) -> int:
     """Write the plan: what to download, what is gone, and whether the last state can be built on. Downloading is not of this engine; bundles that aren't in ``bundles/`` afterwards count as failed and are planned again."""
     version, hot = _hot_list(work)
     saved = work.spark.createDataFrame(sorted(work.record("images-hashes").items()), "bundle string, hash string")
-    old = state.checked_state(_json(work.path / "images-prev/build-state.json"))
+    old = state.checked_state(_json(work.path / "images-prev/build-state.json"), may_be_empty=True)
     plan = images_plan(hot, saved, old, valid(work), _json(work.path / "images-prev/index.json").get("currentVersion"))
     names = lambda d, c: [r[c] for r in d.orderBy(c).toLocalIterator()]
     work.keep("images-plan", {"versionId": version, "incremental": plan["incremental"], "downloadedBundles": names(plan["downloads"], "bundle"), "removedBundles": names(plan["removed"], "bundle"), "newSkinIds": names(plan["new_skins"], "skin_id"), "currentValidSkinIds": names(valid(work), "skin_id")})
@@ -88,13 +89,14 @@ def extract(work: Work, decode: Decoder) -> int:
                 kinds = (pa.string(), pa.string(), pa.string(), pa.int32(), pa.binary(), pa.string())
                 yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], k) for i, k in enumerate(kinds)], ["bundle", "name", "kind", "pos", "content", "error"])
 
-    decoded = files.mapInArrow(run, "bundle string, name string, kind string, pos int, content binary, error string").cache()
+    decoded = files.mapInArrow(run, "bundle string, name string, kind string, pos int, content binary, error string").persist(StorageLevel.DISK_ONLY)
     best = art.extracted(decoded.filter("name is not null"))
     target = work.path / "images"
     shutil.rmtree(target, ignore_errors=True)
     target.mkdir(parents=True)
-    for r in best.join(valid(work), "skin_id", "left_semi").select("skin_id", "content").dropDuplicates(["skin_id"]).toLocalIterator():
-        (target / f"{r['skin_id']}.original.png").write_bytes(bytes(r["content"]))
+    first = Window.partitionBy("skin_id").orderBy("bundle")
+    chosen = best.join(valid(work), "skin_id", "left_semi").withColumn("n", F.row_number().over(first)).filter("n = 1")
+    write_tree(chosen.select(F.concat("skin_id", F.lit(".original.png")).alias("path"), F.lit(False).alias("is_dir"), "content"), target)
     pairs: dict[str, list[str]] = {b: [] for b in plan["downloadedBundles"]}
     for r in best.select("bundle", "skin_id").distinct().orderBy("bundle", "skin_id").toLocalIterator():
         pairs[r["bundle"]].append(r["skin_id"])
@@ -114,10 +116,9 @@ def _pngs(work: Work) -> DataFrame:
 def make_variants(work: Work, resize: Callable[[bytes, int, int], bytes] = art.pillow_resize) -> int:
     """Both scaled tiers, or neither."""
     originals = _pngs(work).filter(F.col("file").endswith(".original.png"))
-    made = art.variants(originals, art.LARGE, "large", resize).union(art.variants(originals, art.PREVIEW, "preview", resize)).cache()
+    made = art.variants(originals, art.LARGE, "large", resize).union(art.variants(originals, art.PREVIEW, "preview", resize)).persist(StorageLevel.DISK_ONLY)
     try:
-        for r in art.all_or_nothing(made).toLocalIterator():
-            (work.path / "images" / r["file"]).write_bytes(bytes(r["content"]))
+        write_tree(art.all_or_nothing(made).select(F.col("file").alias("path"), F.lit(False).alias("is_dir"), "content"), work.path / "images")
     except ValueError as e:
         work.keep("images-variants", {"error": str(e)})
         return 1
@@ -126,6 +127,18 @@ def make_variants(work: Work, resize: Callable[[bytes, int, int], bytes] = art.p
     return 0
 
 
+def build_index(work: Work) -> int:
+    """The index of the pictures that are there, in ``images-index/``, and what it lacks or passes over."""
+    files, skins = _pngs(work), valid(work)
+    rows = images_index(files, skins).withColumn("since_version", F.lit(None).cast("string"))
+    archives.write_json(work.path / "images-index/index.json", as_index(rows, schemaVersion="images/v1", currentVersion=work.record("images-plan").get("versionId") or ""))
+    gaps: dict[str, list[str]] = {"skipped": [], "missing": []}
+    for r in art.index_gaps(files, skins).orderBy("skin_id").toLocalIterator():
+        gaps[r["problem"]].append(r["skin_id"])
+    work.keep("images-index", {"entries": rows.count(), **gaps})
+    return 0
+
+
 def package(work: Work) -> int:
     """Merge what was extracted into the last index, advance the state, and package all shards or a delta."""
     plan, spark, version = work.record("images-plan"), work.spark, work.record("images-plan").get("versionId") or ""
@@ -138,7 +151,8 @@ def package(work: Work) -> int:
         candidates = work.record("images-extract").get("bundleCandidates", {})
         flat = lambda d: spark.createDataFrame([(b, s) for b, ids in d.items() for s in ids], "bundle string, skin_id string")
         names = lambda x: spark.createDataFrame([(b,) for b in x], "bundle string")
-        old = state.checked_state(_json(work.path / "images-prev/build-state.json")) or {"bundleCandidates": {}, "validSkinIds": []}
+        old = state.checked_state(_json(work.path / "images-prev/build-state.json"), may_be_empty=True) if plan["incremental"] else None
+        old = old or {"bundleCandidates": {}, "validSkinIds": []}  # a full build carries nothing over from the last state
         lost = state.uncovered(spark.createDataFrame([(s,) for s in plan["newSkinIds"]], "skin_id string"), partial).limit(5).collect() if plan["incremental"] else []
         if lost:
             work.keep("images-package", {"error": f"new skins were not extracted: {[r['skin_id'] for r in lost]}"})
@@ -184,6 +198,10 @@ def publish(work: Work, execute: bool = False) -> int:
     return 0
 
 
-def run(work: Work, decode: Decoder, resize: Callable[[bytes, int, int], bytes] = art.pillow_resize, release_it: bool = False) -> int:
+def run(work: Work, decode: Decoder, resize: Callable[[bytes, int, int], bytes] = art.pillow_resize, release_it: bool = False, force: bool = False) -> int:
+    """All steps; a version that the last index has already ends the chain at once, unless forced."""
+    version, _ = _hot_list(work)
+    if not force and version and version == _json(work.path / "images-prev/index.json").get("currentVersion"):
+        return 0
     steps = [fetch, lambda w: extract(w, decode), lambda w: make_variants(w, resize), package, *([lambda w: publish(w, True)] if release_it else [])]
     return next((code for step in steps if (code := step(work))), 0)

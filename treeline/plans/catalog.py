@@ -415,3 +415,6 @@ def event_windows(spark: SparkSession, d: str) -> DataFrame:
     from ..streaming.poll import event_counts
 
     return event_counts(_t(spark, d, "events"))
+
+
+from . import catalog_more  # noqa: E402, F401  registers its queries here

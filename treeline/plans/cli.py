@@ -19,7 +19,7 @@ def main(args: list[str] | None = None, spark=None) -> int:
     parser.add_argument("--server", default="cn")
     parser.add_argument("--master", default=None)
     commands = parser.add_subparsers(dest="command", required=True)
-    for name in ("check", "fetch", "merge", "story", "summarize", "package", "images-latest-tag", "images-fetch", "images-variants", "images-package"):
+    for name in ("check", "fetch", "merge", "story", "summarize", "package", "images-latest-tag", "images-fetch", "images-index", "images-variants", "images-package"):
         commands.add_parser(name)
     for name in ("validate", "run"):
         p = commands.add_parser(name)
@@ -36,6 +36,7 @@ def main(args: list[str] | None = None, spark=None) -> int:
         p = commands.add_parser(name)
         p.add_argument("--decoder", required=True)
         p.add_argument("--publish", action="store_true")
+        p.add_argument("--force", action="store_true")
     a = parser.parse_args(args)
     work = factory.Work(spark or session("treeline", a.master), Path(a.workdir), a.server)
     if a.command in ("validate", "run"):
@@ -62,9 +63,9 @@ def main(args: list[str] | None = None, spark=None) -> int:
     if a.command in ("images-extract", "images-run"):
         module, _, name = a.decoder.partition(":")
         decode = getattr(importlib.import_module(module), name)
-        return artwork.extract(work, decode) if a.command == "images-extract" else artwork.run(work, decode, release_it=a.publish)
+        return artwork.extract(work, decode) if a.command == "images-extract" else artwork.run(work, decode, release_it=a.publish, force=a.force)
     if a.command.startswith("images-"):
-        return {"images-fetch": artwork.fetch, "images-variants": artwork.make_variants, "images-package": artwork.package}[a.command](work)
+        return {"images-fetch": artwork.fetch, "images-index": artwork.build_index, "images-variants": artwork.make_variants, "images-package": artwork.package}[a.command](work)
     return {"fetch": factory.fetch, "merge": factory.merge, "story": factory.convert_stories, "summarize": factory.summarize, "validate": factory.validate, "package": factory.package}[a.command](work)
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import shutil
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from pathlib import Path
@@ -15,6 +16,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from ..functions.text import is_art_bundle
 from ..operators import art, delta, digest, gates, overlay, release, state, story
@@ -22,7 +24,7 @@ from ..sources import archives, tables, tree
 from ..sources.registry import Registry
 from .workers import importable
 
-ROOT, CONTRACT = "zh_CN", 1
+ROOT, CONTRACT = "zh_CN", "treeline-data/v1"
 #: Files at the root that go with the stories.
 INDEX_FILES = ["extrastory.json", "chardict.json", "wordcount.json", "storyinfo.json", "summaries.json", "event_summaries.json"]
 
@@ -35,6 +37,7 @@ class Work:
     path: Path
     server: str = "cn"
     probes: dict[str, list[str]] = field(default_factory=dict)
+    held: list[DataFrame] = field(default_factory=list)
 
     def __post_init__(self) -> None:
         importable(self.spark)
@@ -45,30 +48,38 @@ class Work:
         return json.loads(file.read_text("utf-8")) if file.exists() else {}
 
     def keep(self, name: str, value: dict) -> None:
+        """Write a step's record; the trees that it read are let go."""
         archives.write_json(self.path / f"{name}.json", value)
+        while self.held:
+            self.held.pop().unpersist()
 
     def tree(self, name: str) -> DataFrame:
-        return tree.scan(self.spark, str(self.path / name))
+        """A directory below as it is now; its files are read once, however often the step uses it."""
+        self.held.append(tree.scan(self.spark, str(self.path / name)).persist(StorageLevel.DISK_ONLY))
+        return self.held[-1]
 
 
 def write_tree(files: DataFrame, target: Path) -> None:
-    """Put a tree's files on a shared file system, from the executors."""
+    """Put a tree on a file system that all executors share, from them; any store that pyarrow knows will do. A repeated task leaves one whole file."""
     root = str(target)
-    dirs = [r["path"] for r in files.filter("is_dir").select("path").toLocalIterator()]
-    for d in dirs:
-        (target / d).mkdir(parents=True, exist_ok=True)
 
     def put(batches):
+        store, top = tree.store_of(root)
         for batch in batches:
             for row in batch.to_pylist():
-                file = Path(root) / row["path"]
-                file.parent.mkdir(parents=True, exist_ok=True)
-                part = file.with_name(f".{file.name}.part")
-                part.write_bytes(row["content"] or b"")
-                part.replace(file)
+                file = f"{top.rstrip('/')}/{row['path']}"
+                if row["is_dir"]:
+                    store.create_dir(file, recursive=True)
+                    continue
+                folder, _, name = file.rpartition("/")
+                store.create_dir(folder, recursive=True)
+                part = f"{folder}/.{name}.{uuid.uuid4().hex}"
+                with store.open_output_stream(part, compression=None) as out:
+                    out.write(row["content"] or b"")
+                store.move(part, file)
             yield batch.select(["path"])
 
-    files.filter("not is_dir").select("path", "content").mapInArrow(put, "path string").count()
+    files.select("path", "is_dir", "content").mapInArrow(put, "path string").count()
 
 
 def loaded_probes(work: Work, config: Path | None = None, more: dict[str, list[str]] | None = None) -> dict[str, list[str]]:
@@ -100,9 +111,12 @@ def fetch(work: Work) -> int:
 
 
 def fetch_baseline(work: Work, clobber: bool = False) -> int:
-    """Unpack the latest complete release as the baseline, after its digests are verified. One that is there stays."""
+    """Unpack the latest complete release as the baseline, after its digests are verified. One that is there stays: it has all
+    files of the contract, or as many files as the verified release that it was unpacked from."""
     target = work.path / "baseline"
-    if not clobber and all((target / ROOT / "gamedata/excel" / f).exists() for f in gates.REQUIRED_EXCEL):
+    required = [*(f"gamedata/excel/{f}" for f in gates.REQUIRED_EXCEL), *gates.REQUIRED_LEVELS, *gates.REQUIRED_STORY]
+    count = lambda: sum(f.is_file() for f in target.rglob("*"))
+    if not clobber and (all((target / ROOT / f).is_file() for f in required) or 0 < count() == work.record("baseline").get("files")):
         return 0
     registry = Registry(work.path / "registry")
     found = release.complete(registry.releases(work.spark)).orderBy(F.desc("created")).limit(1).collect()
@@ -118,6 +132,7 @@ def fetch_baseline(work: Work, clobber: bool = False) -> int:
     staged.mkdir(parents=True)
     write_tree(archives.read_archives(packed).withColumn("is_dir", F.lit(False)), staged)
     archives.activate(staged, target)
+    work.keep("baseline", {"tag": tag, "files": count()})
     return 0
 
 
@@ -198,9 +213,9 @@ def convert_stories(work: Work) -> int:
     archives.write_json(out / "chardict.json", {r["key"]: {"name": r["name"], "id": r["id"]} for r in people.orderBy("key").toLocalIterator()})
     stats = {
         "converted": converted.filter("error is null").count(),
-        "failed": [r.asDict() for r in converted.filter("error is not null").select("ref", "error").orderBy("ref").limit(50).collect()],
+        "failed": [r.asDict() for r in converted.filter("error is not null").select("ref", "error").orderBy("ref").toLocalIterator()],
         "missing_source": todo.filter("missing_source").count(),
-        "case_fixes": [r.asDict() for r in fixes.orderBy("expected").limit(50).collect()],
+        "case_fixes": [r.asDict() for r in fixes.orderBy("expected").toLocalIterator()],
     }
     work.keep("story", stats)
     converted.unpersist()
@@ -230,7 +245,8 @@ def summarize(work: Work, model: Callable[[str], str] = digest.extractive) -> in
     merged = lambda old, rows, key: dict(sorted({**{r[key]: r["summary"] for r in old.toLocalIterator()}, **{r[key]: r["summary"] for r in rows.filter("error is null").toLocalIterator()}}.items()))
     archives.write_json(folder / "summaries.json", merged(kept, new, "storyTxt"))
     archives.write_json(folder / "event_summaries.json", merged(caches[1], events, "event_id"))
-    failed = [r.asDict() for r in new.filter("error is not null").select("storyTxt", "error").limit(50).collect()]
+    lost = new.filter("error is not null").select(F.col("storyTxt").alias("key"), "error").union(events.filter("error is not null").select("event_id", "error"))
+    failed = [r.asDict() for r in lost.orderBy("key").toLocalIterator()]
     work.keep("summarize", {k: v for k, v in {"generated": new.filter("error is null").count(), "reused": kept.count(), "failed_details": failed}.items() if v})
     new.unpersist()
     inputs.unpersist()
@@ -238,10 +254,13 @@ def summarize(work: Work, model: Callable[[str], str] = digest.extractive) -> in
 
 
 def validate(work: Work) -> int:
-    results = gates.validate(work.tree("candidate"), work.tree("baseline") if (work.path / "baseline").exists() else None, work.probes)
-    rows = [r.asDict() for r in results.orderBy("gate", "severity", "subject").limit(1000).collect()]
+    """All gates; the record holds every row, and the records of each table."""
+    candidate = work.tree("candidate")
+    results = gates.validate(candidate, work.tree("baseline") if (work.path / "baseline").exists() else None, work.probes)
+    rows = [r.asDict() for r in results.orderBy("gate", "severity", "subject").toLocalIterator()]
     errors = [r for r in rows if r["severity"] == "error"]
-    work.keep("validation", {"ok": not errors, "errors": errors, "warnings": [r for r in rows if r["severity"] != "error"]})
+    counts = {r["table"]: r["n"] for r in gates.table_counts(_tables(candidate).filter(F.col("table").isin(*gates.REQUIRED_EXCEL))).collect()}
+    work.keep("validation", {"ok": not errors, "errors": errors, "warnings": [r for r in rows if r["severity"] != "error"], "recordCounts": dict(sorted(counts.items()))})
     return 1 if errors else 0
 
 
@@ -255,7 +274,7 @@ def package(work: Work) -> int:
         archives.write_archive(part("levels"), dist / release.REQUIRED_ASSETS[1]),
         archives.write_archive(part("excel").union(part("story").filter(F.col("path").endswith(".json"))).union(files.filter(F.col("path").isin(*[f"{ROOT}/{n}" for n in INDEX_FILES]))), dist / release.REQUIRED_ASSETS[2]),
     ]
-    manifest = {"contractVersion": CONTRACT, "pipeline": provenance(), **{n: work.record(n) for n in ("merge", "story", "summarize", "validation")}, "assets": {a["name"]: {"size": a["size"], "sha256": a["sha256"]} for a in assets}}
+    manifest = {"contractVersion": CONTRACT, "source": work.record("merge").get("source", {}), "pipeline": provenance(), **{n: work.record(n) for n in ("merge", "story", "summarize", "validation")}, "assets": {a["name"]: {"size": a["size"], "sha256": a["sha256"]} for a in assets}}
     archives.write_json(dist / "manifest.json", manifest)
     return 0
 
