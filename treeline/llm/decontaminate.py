@@ -3,7 +3,8 @@
 Passages are taken once each, however often the corpus repeats them, and without the verbatim parts of items: TF-IDF
 weights come from the frequencies of ``BUCKETS`` hashed words in all of them, and are above zero for words that all hold, so
 that tables of one text work as well. A randomised SVD of TF-IDF passages,
-distributed over the rows, gives a latent basis; both of its passes read all of these passages and all benchmark items.
+distributed over the rows, gives a latent basis; its one pass reads all of these passages and all benchmark items, and its large
+matrices never come to the driver: they are added in parts and stay in the shared folder, where tasks open them.
 Those of the ``COMMON`` first directions that many items have a part in hold what all texts of a language have in common and
 are left out; a passage that many documents repeat is not.
 Every window of every document is projected (differences of prefix sums)
@@ -21,14 +22,17 @@ than 8 words must be there as a whole, and are found by a hash of all their word
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
+from pyspark.sql.pandas.types import to_arrow_type
 
+from .shared_store import new_folder, open_file, put_file, written
 from .text_arrays import Words, mixed, slices, span_hashes
 
 BUCKETS, RANK, COMMON = 1 << 15, 64, 4
@@ -37,6 +41,8 @@ CUT, TOGETHER = 32, 24  #: one pair of words in so many ends a passage; passages
 SHARED, SHARED_PART = 8, 0.05  #: items, and part of all items, that have a part in a common direction
 GRAM = 8  #: words of an item that, found verbatim, make a candidate
 ITEMS = 20_000
+PARTS = 16  #: of the latent basis; a file each
+CELLS = 1 << 21  #: cosines that are computed at a time
 SIZES = (16, 32, 64)  #: words in a window; windows overlap by half
 BLOCK = 8  #: words that are summed at once; it divides half of each size
 COSINE = 0.5  #: of a candidate
@@ -128,14 +134,19 @@ def item_passages(items: DataFrame, text: str) -> DataFrame:
     return _slim(items, text).mapInArrow(run, "b binary").distinct()
 
 
-def _counts(batch: pa.RecordBatch) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
-    """Some passages at a time: their rows, the buckets they hold and how often each passage holds each (dense, for BLAS)."""
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Where each passage begins, and the buckets of all."""
     column = batch["b"]
     offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1] // 2
-    data = np.frombuffer(column.buffers()[2], np.uint16)
+    return offsets, np.frombuffer(column.buffers()[2] or b"", np.uint16)
+
+
+def _counts(batch: pa.RecordBatch) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Some passages at a time: their rows, the buckets they hold and how often each passage holds each (dense, for BLAS)."""
+    offsets, data = _flat(batch)
     place = np.zeros(BUCKETS, np.int64)
-    for begin in range(0, len(column), TOGETHER):
-        some = slice(begin, min(begin + TOGETHER, len(column)))
+    for begin in range(0, len(batch), TOGETHER):
+        some = slice(begin, min(begin + TOGETHER, len(batch)))
         flat = data[offsets[some.start] : offsets[some.stop]]
         used = np.zeros(BUCKETS, bool)
         used[flat] = True
@@ -152,9 +163,12 @@ def passage_frequencies(passages: DataFrame) -> tuple[np.ndarray, int, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, n, total = np.zeros(BUCKETS, np.int64), 0, 0
         for batch in batches:
-            for _, held, counts in _counts(batch):
-                seen[held] += (counts > 0).sum(axis=0)
-                n, total = n + len(counts), total + int(counts.sum())
+            offsets, data = _flat(batch)
+            held = np.repeat(np.arange(len(offsets) - 1) * BUCKETS, np.diff(offsets)) + data[offsets[0] : offsets[-1]]
+            held.sort()
+            held = held[np.append(True, held[1:] != held[:-1])[: len(held)]]
+            seen += np.bincount(held % BUCKETS, minlength=BUCKETS)
+            n, total = n + len(batch), total + int(offsets[-1] - offsets[0])
         some = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(some, [-1, -2])), pa.array(np.append(seen[some], [n, total]))], ["bucket", "n"])
 
@@ -169,62 +183,120 @@ def passage_frequencies(passages: DataFrame) -> tuple[np.ndarray, int, int]:
     return out, n, total
 
 
-def latent_basis(corpus: DataFrame, items: DataFrame, idf: np.ndarray, words_in_all: int, seed: int = 5) -> np.ndarray:
-    """idf-weighted coordinates of every bucket (BUCKETS x RANK), from randomised subspace iterations over passages."""
+def _test_matrix(seed: int, width: int) -> np.ndarray:
+    """Every task makes the same random matrix for itself."""
+    return np.random.default_rng(seed).standard_normal((BUCKETS, width), np.float32)
+
+
+def sketch(corpus: DataFrame, items: DataFrame, idf: np.ndarray, words_in_all: int, seed: int, width: int) -> DataFrame:
+    """A'(A P) for the random matrix P and the TF-IDF rows A of all passages and items: PARTS rows (part, m), each some of its rows."""
     # A tenth of the weight falls to the items together, but to none so much that it makes a direction of its own among the first.
     passages, n = words_in_all / PASSAGE, max(1, items.count())
     weight = math.sqrt(max(1.0, min(0.1 * passages / n, 0.003 * passages)))
-    tasks = max(8, 2 * corpus.sparkSession.sparkContext.defaultParallelism)  # each makes one matrix
+    tasks = max(4, corpus.sparkSession.sparkContext.defaultParallelism)  # each makes one matrix
     both = corpus.withColumn("w", F.sqrt(F.length("b") / F.lit(2.0 * PASSAGE)))  # weight goes by words
     both = both.union(items.withColumn("w", F.lit(weight))).coalesce(tasks)
-    width = RANK + COMMON + 8
+    rows = BUCKETS // PARTS
 
-    def pass_over(probe: np.ndarray) -> np.ndarray:
-        """A'(A probe) for TF-IDF rows A, of the length w."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        probe = _test_matrix(seed, width)
+        total = np.zeros_like(probe)
+        for batch in batches:
+            w = batch["w"].to_numpy(zero_copy_only=False)
+            for some, held, counts in _counts(batch):
+                a = counts.astype(np.float32) * idf[held]
+                a *= (w[some] / np.maximum(np.sqrt(np.einsum("ij,ij->i", a, a)), 1e-9)).astype(np.float32)[:, None]
+                total[held] += a.T @ (a @ probe[held])
+        for part in range(PARTS):
+            m = total[part * rows : (part + 1) * rows]
+            if m.any():
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([m.tobytes()], pa.binary())], ["part", "m"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}  # PARTS at most, together one matrix
+        for batch in batches:
+            for part, m in zip(batch["part"].to_pylist(), batch["m"], strict=True):
+                sums.setdefault(part, np.zeros((rows, width)))[:] += np.frombuffer(m.as_buffer(), np.float32).reshape(rows, width)
+        for part, m in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([m.astype(np.float32).tobytes()], pa.binary())], ["part", "m"])
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros_like(probe)
-            for batch in batches:
-                w = batch["w"].to_numpy(zero_copy_only=False)
-                for some, held, counts in _counts(batch):
-                    a = counts.astype(np.float32) * idf[held]
-                    a *= (w[some] / np.maximum(np.sqrt(np.einsum("ij,ij->i", a, a)), 1e-9)).astype(np.float32)[:, None]
-                    total[held] += a.T @ (a @ probe[held])
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["m"])
-
-        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros_like(probe)
-            for batch in batches:
-                for m in batch["m"]:
-                    total += np.frombuffer(m.as_buffer(), probe.dtype).reshape(probe.shape)
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["m"])
-
-        out = np.zeros_like(probe)
-        sums = both.mapInArrow(run, "m binary").repartition(math.ceil(math.sqrt(tasks))).mapInArrow(add, "m binary")
-        for row in sums.toLocalIterator():  # matrices of a fixed size, one at a time
-            out += np.frombuffer(row["m"], probe.dtype).reshape(probe.shape)
-        return out
-
-    probe = np.random.default_rng(seed).standard_normal((BUCKETS, width)).astype(np.float32)
-    basis, _ = np.linalg.qr(pass_over(probe))
-    image = pass_over(basis.astype(np.float32))
-    values, turn = np.linalg.eigh(basis.T @ image)
+    return written(both.mapInArrow(run, "part int, m binary").repartition(PARTS, "part").mapInArrow(add, "part int, m binary"), "latent-sketch")
+
+
+def latent_basis(corpus: DataFrame, items: DataFrame, idf: np.ndarray, words_in_all: int, seed: int = 5) -> str:
+    """A folder of idf-weighted coordinates of every bucket, from a randomised SVD of all passages in one pass.
+
+    With Y = A'(A P), the product Y (P'Y)^-1 Y' approximates A'A. Its eigenvectors are Y times a small matrix, made from Y'Y
+    and P'Y, which tasks add up; the large matrices stay in the shared folder.
+    """
+    width = RANK + COMMON + 8
+    made, rows = sketch(corpus, items, idf, words_in_all, seed, width), BUCKETS // PARTS
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        probe = _test_matrix(seed, width)
+        for batch in batches:
+            for part, m in zip(batch["part"].to_pylist(), batch["m"], strict=True):
+                y = np.frombuffer(m.as_buffer(), np.float32).reshape(rows, width).astype(np.float64)
+                both = np.stack([y.T @ y, probe[part * rows : (part + 1) * rows].T.astype(np.float64) @ y])
+                yield pa.RecordBatch.from_arrays([pa.array([both.tobytes()], pa.binary())], ["m"])
+
+    yy, py = np.zeros((2, width, width))
+    for row in made.mapInArrow(products, "m binary").toLocalIterator():  # PARTS pairs of width x width
+        y, p = np.frombuffer(row["m"]).reshape(2, width, width)
+        yy, py = yy + y, py + p
+    turn = _eigenvectors(yy, py)
+    folder = new_folder(corpus.sparkSession, "latent-basis")
+
+    def coordinates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, m in zip(batch["part"].to_pylist(), batch["m"], strict=True):
+                y = np.frombuffer(m.as_buffer(), np.float32).reshape(rows, width).astype(np.float64)
+                put_file(folder, str(part), [((y @ turn) * idf[part * rows : (part + 1) * rows, None]).astype(np.float32).tobytes()])
+            yield pa.RecordBatch.from_arrays([pa.array([len(batch)], pa.int64())], ["n"])
+
+    parts = [r["part"] for r in made.select("part").collect()]  # PARTS at most
+    made.mapInArrow(coordinates, "n long").agg(F.sum("n")).collect()
+    use = np.ones(turn.shape[1], bool)
+    use[:COMMON] = ~_shared(items, idf, folder, parts, turn.shape[1])[: len(use)]
+    use[np.flatnonzero(use)[RANK:]] = False
+    use = use if use.any() else ~use
+    put_file(folder, "use", [pickle.dumps((parts, use))])
+    return folder
+
+
+def _eigenvectors(yy: np.ndarray, py: np.ndarray) -> np.ndarray:
+    """T such that the columns of Y T are orthonormal and are the first eigenvectors of Y (P'Y)^-1 Y', most important first."""
+    py = (py + py.T) / 2
+    size, along = np.linalg.eigh(py)
+    keep = size > 1e-7 * max(size.max(), 1e-30)  # small tables have fewer directions
+    root = along[:, keep] / np.sqrt(np.maximum(size[keep], 1e-30))  # Y root (Y root)' is the approximation
+    values, turn = np.linalg.eigh(root.T @ yy @ root)
     order = np.argsort(-values)
-    common = order[:COMMON][_shared(items, idf, (basis @ turn[:, order[:COMMON]]).astype(np.float32))]
-    order = order[~np.isin(order, common)]
-    order = order[: max(1, int((values[order] > 1e-5 * values.max()).sum()))]  # small tables have fewer directions
-    return ((basis @ turn[:, order[:RANK]]) * idf[:, None]).astype(np.float32)
+    order = order[: max(1, int((values > 1e-5 * values.max()).sum()))][: RANK + COMMON]
+    return root @ turn[:, order] / np.sqrt(np.maximum(values[order], 1e-30))
 
 
-def _shared(items: DataFrame, idf: np.ndarray, directions: np.ndarray) -> np.ndarray:
-    """Which directions many items have a part in: Σ²(c²) / Σ(c⁴) of their coordinates c is near their number."""
+def read_basis(folder: str, parts: list[int], directions: int) -> np.ndarray:
+    rows, out = BUCKETS // PARTS, np.zeros((BUCKETS, directions), np.float32)
+    for part in parts:
+        with open_file(f"{folder}/{part}") as f:
+            out[part * rows : (part + 1) * rows] = np.frombuffer(f.read(), np.float32).reshape(rows, -1)
+    return out
+
+
+def _shared(items: DataFrame, idf: np.ndarray, folder: str, parts: list[int], directions: int) -> np.ndarray:
+    """Which of the first directions many items have a part in: Σ²(c²) / Σ(c⁴) of their coordinates c is near their number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        basis = None
         for batch in batches:
+            basis = read_basis(folder, parts, directions)[:, :COMMON] if basis is None else basis
             for _, held, counts in _counts(batch):
                 a = counts * idf[held]
-                c = (a / np.maximum(np.sqrt(np.einsum("ij,ij->i", a, a)), 1e-9)[:, None]) @ directions[held]
-                yield pa.RecordBatch.from_arrays([pa.array(range(COMMON), pa.int32()), pa.array([len(c)] * COMMON, pa.int64()), pa.array((c**2).sum(axis=0), pa.float64()), pa.array((c**4).sum(axis=0), pa.float64())], ["d", "n", "s2", "s4"])
+                c = (counts @ basis[held]) / np.maximum(np.sqrt(np.einsum("ij,ij->i", a, a)), 1e-9)[:, None]
+                n = c.shape[1]
+                columns = [pa.array(range(n), pa.int32()), pa.array([len(c)] * n, pa.int64()), pa.array((c**2).sum(axis=0), pa.float64()), pa.array((c**4).sum(axis=0), pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, ["d", "n", "s2", "s4"])
 
     found = items.mapInArrow(run, "d int, n long, s2 double, s4 double").groupBy("d").agg(*[F.sum(x).alias(x) for x in ("n", "s2", "s4")])
     out = np.zeros(COMMON, bool)
@@ -248,10 +320,10 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
 
 
 class Matcher:
-    def __init__(self, items: list[tuple[object, str]], basis: np.ndarray):
-        self.ids = [i for i, _ in items]
-        words = Words([t or "" for _, t in items])
-        self.words = [words.of(i) for i in range(len(items))]
+    def __init__(self, ids: list, texts: list[str | None], basis: np.ndarray):
+        self.ids = ids
+        words = Words([t or "" for t in texts])
+        self.words = [words.of(i) for i in range(len(texts))]
         self.basis, self.passages = basis, {}
         self.grams = Grams(GRAM, self.words, [_places(len(w)) for w in self.words])
         self.short = [Grams(n, self.words, [[0] if len(w) == n else [] for w in self.words]) for n in sorted({len(w) for w in self.words}) if 0 < n < GRAM]
@@ -286,8 +358,9 @@ class Matcher:
             end = np.minimum(begin + size, words.offsets[1:][text])
             first = blocks[:-1][text] + at // BLOCK
             last = np.minimum(first + size // BLOCK, blocks[1:][text])
-            for a in range(0, len(text), 8192):
-                v = sums[last[a : a + 8192]] - sums[first[a : a + 8192]]
+            together = max(64, CELLS // len(owner))
+            for a in range(0, len(text), together):
+                v = sums[last[a : a + together]] - sums[first[a : a + together]]
                 norms = np.sqrt(np.einsum("ij,ij->i", v, v))
                 cosines = v @ vectors.T
                 w, p = np.nonzero(cosines >= COSINE * np.maximum(norms, 1e-6)[:, None])
@@ -350,36 +423,50 @@ class Matcher:
         return share if share >= PARAPHRASE and common_subsequence(answer, region) >= ANSWER * len(answer) else None
 
 
-def _matchers(docs: DataFrame, benchmark: DataFrame, text: str, item_key: str, item_text: str) -> Iterator[Matcher]:
+@lru_cache(maxsize=1)
+def _matcher(items: str, basis: str) -> Matcher:
+    """A worker keeps the one that its last task used."""
+    with open_file(items) as f:
+        ids, texts = pickle.loads(f.read())
+    with open_file(f"{basis}/use") as f:
+        parts, use = pickle.loads(f.read())
+    return Matcher(ids, texts, np.ascontiguousarray(read_basis(basis, parts, len(use))[:, use]))
+
+
+def _matchers(docs: DataFrame, benchmark: DataFrame, text: str, item_key: str, item_text: str) -> Iterator[Callable[[], Matcher]]:
+    """What opens a matcher in a task, for each block of items. Basis and items lie in the shared folder."""
     blocks = -(-benchmark.count() // ITEMS)
     if not blocks:
         return
-    corpus = corpus_passages(docs, _known(benchmark, item_text), text).persist(StorageLevel.DISK_ONLY)
+    corpus = written(corpus_passages(docs, _known(benchmark, item_text), text), "passages")
     seen, n, total = passage_frequencies(corpus)
     idf = np.log((2 + n) / (1 + seen)).astype(np.float32)
     basis = latent_basis(corpus, item_passages(benchmark, item_text), idf, total)
-    corpus.unpersist()
+    slim = benchmark.select(F.col(item_key).alias("i"), F.col(item_text).alias("t"))
     for b in range(blocks):
-        part = benchmark.filter(F.pmod(F.xxhash64(item_key, item_text), F.lit(blocks)) == b) if blocks > 1 else benchmark
-        yield Matcher([(r[0], r[1]) for r in part.select(item_key, item_text).toLocalIterator()], basis)
+        part = slim.filter(F.pmod(F.xxhash64(F.col("i").cast("string"), "t"), F.lit(blocks)) == b) if blocks > 1 else slim
+        held = [(r["i"], r["t"]) for r in part.toLocalIterator()]  # about ITEMS
+        path = put_file(new_folder(docs.sparkSession, "items"), str(b), [pickle.dumps(([i for i, _ in held], [t for _, t in held]))])
+        yield partial(_matcher, path, basis)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
-    """key, item, lcs_ratio, cosine of every document that holds a benchmark item."""
+    """key, item, lcs_ratio, cosine of every document that holds a benchmark item. Both keys may be of any atomic type."""
     slim = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    schema = f"{key} {slim.schema['k'].dataType.simpleString()}, {item_key} {benchmark.schema[item_key].dataType.simpleString()}, lcs_ratio double, cosine double"
-    out = docs.sparkSession.createDataFrame([], schema)
-    for m in _matchers(docs, benchmark, text, item_key, item_text):
+    kind = benchmark.schema[item_key].dataType
+    schema = f"{key} {slim.schema['k'].dataType.simpleString()}, {item_key} {kind.simpleString()}, lcs_ratio double, cosine double"
+    out, arrow = docs.sparkSession.createDataFrame([], schema), to_arrow_type(kind)
+    for opened in _matchers(docs, benchmark, text, item_key, item_text):
 
-        def run(batches: Iterator[pa.RecordBatch], m: Matcher = m) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], opened: Callable[[], Matcher] = opened) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                texts = batch["t"].to_pylist()
+                m, texts = opened(), batch["t"].to_pylist()
                 for part in slices([len(t) for t in texts]):
                     found = m.find(texts[part])
                     at, items, share, cosine = zip(*found, strict=True) if found else ((), (), (), ())
-                    yield pa.RecordBatch.from_arrays([batch["k"][part].take(pa.array(at, pa.int64())), pa.array([m.ids[i] for i in items]).cast(kind), pa.array(share, pa.float64()), pa.array(cosine, pa.float64())], [key, item_key, "lcs_ratio", "cosine"])
+                    ids, shares, cosines = pa.array([m.ids[i] for i in items], arrow), pa.array(share, pa.float64()), pa.array(cosine, pa.float64())
+                    yield pa.RecordBatch.from_arrays([batch["k"][part].take(pa.array(at, pa.int64())), ids, shares, cosines], [key, item_key, "lcs_ratio", "cosine"])
 
-        kind = pa.int64() if benchmark.schema[item_key].dataType.simpleString() == "bigint" else pa.string()
         out = out.union(slim.mapInArrow(run, schema))
     return out
 
@@ -387,11 +474,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", key:
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of docs that hold no benchmark item; nothing is shuffled."""
     place, out = docs.columns.index(text), docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
-    for m in _matchers(docs, benchmark, text, item_key, item_text):
+    for opened in _matchers(docs, benchmark, text, item_key, item_text):
 
-        def run(batches: Iterator[pa.RecordBatch], m: Matcher = m) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], opened: Callable[[], Matcher] = opened) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                texts = [t or "" for t in batch.column(place).to_pylist()]
+                m, texts = opened(), [t or "" for t in batch.column(place).to_pylist()]
                 clean = np.ones(len(texts), bool)
                 for part in slices([len(t) for t in texts]):
                     for t, *_ in m.find(texts[part]):
