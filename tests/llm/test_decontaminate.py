@@ -1,9 +1,11 @@
+import datetime
 import random
 
 import numpy as np
 import pytest
 
 from treeline.llm import decontaminate
+from treeline.llm.text_arrays import Words
 
 from .documents import documents, frame, prose
 
@@ -118,3 +120,38 @@ def test_a_table_of_one_text(spark, copies, form):
     found = decontaminate.contaminated(docs, benchmark).collect()
     assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(k, 7) for k in range(copies)]
     assert decontaminate.without_contaminated(docs, benchmark).count() == 0
+
+
+def test_recall_against_all_windows(spark):
+    """Every item against every window of the shorter documents, and of paraphrases planted into them."""
+    rng = random.Random(12)
+    docs = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect() if r["text"] and len(r["text"]) < 2000][:60]
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").collect()]
+    for k in range(60):
+        words, host = items[k % len(items)][1].split(), docs[k % 40].split()
+        n, at = rng.choice([3, 4, 5, 8]), rng.randrange(len(host) + 1)
+        changed = [w if j % n or j > len(words) - 7 else rng.choice(["", "indeed", "quoth"]) for j, w in enumerate(words)]
+        docs.append(" ".join([*host[:at], *changed, *host[at:]]))
+    texts = Words(docs)
+    wanted = set()
+    for i, text in items:
+        item = Words([text]).hashes
+        for d in range(len(docs)):
+            own = texts.of(d)
+            if len(np.intersect1d(own, item)) < decontaminate.PARAPHRASE * len(np.unique(item)) * 0.5:
+                continue
+            width = len(item) + len(item) // 2
+            if any(decontaminate.Matcher.decide(item, own[a : a + width]) for a in range(0, max(1, len(own) - len(item) // 2), max(1, len(item) // 8))):
+                wanted.add((d, i))
+    found = decontaminate.contaminated(frame(spark, rows_of(docs)), spark.createDataFrame(items, "item_id long, text string")).collect()
+    found = {(r["doc_id"], r["item_id"]) for r in found}
+    print(f"{len(wanted)} by brute force, recall {len(found & wanted) / len(wanted):.3f}, {len(found - wanted)} more")
+    assert len(wanted) >= 40 and len(found & wanted) >= 0.9 * len(wanted) and len(found - wanted) <= 0.05 * len(wanted)
+
+
+def test_item_ids_of_other_types(spark):
+    rows, items, planted = cases()
+    for kind, make in (("int", int), ("date", lambda i: datetime.date(2000, 1, 1) + datetime.timedelta(i)), ("string", str)):
+        benchmark = spark.createDataFrame([(make(i), t) for i, t in items], f"item_id {kind}, text string")
+        found = decontaminate.contaminated(frame(spark, rows), benchmark).collect()
+        assert {(r["doc_id"], r["item_id"]) for r in found} == {(d, make(i)) for d, i in planted}

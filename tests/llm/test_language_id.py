@@ -1,4 +1,6 @@
+import unicodedata
 import zlib
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -57,3 +59,41 @@ def test_out_of_place_distance():
     found, n = np.unique(language_id._grams(points), return_counts=True)
     key = lambda g: sum(ord(c) << 21 * (len(g) - 1 - i) for i, c in enumerate(g))
     assert dict(zip(found.tolist(), n.tolist())) == {key(g): c for g, c in grams("the cat, the dog's cat").items()}
+
+
+def plain_grams(text):
+    """The n-grams of 1 to 3 letters of each word with a blank on both sides, counted."""
+    out = Counter()
+    words = "".join(c if unicodedata.category(c)[0] == "L" else " " for c in text.lower()).split()
+    for w in words:
+        padded = f" {w} "
+        out.update(w)
+        out.update(padded[i : i + 2] for i in range(len(padded) - 1))
+        out.update(padded[i : i + 3] for i in range(len(padded) - 2))
+    return out
+
+
+def ranked(counts, size):
+    value = lambda g: sum(ord(c) << 21 * (len(g) - 1 - i) for i, c in enumerate(g))
+    return [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], value(x[0])))][:size]
+
+
+def test_predictions_against_plain_dictionaries(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    rows = docs.collect()
+    totals = {}
+    for r in rows:
+        if not fold(r["doc_id"]) and r["lang"] is not None and r["text"] is not None:
+            totals.setdefault(r["lang"], Counter()).update(plain_grams(r["text"]))
+    size = language_id.PROFILE_SIZE
+    places = {lang: {g: i for i, g in enumerate(ranked(c, size))} for lang, c in totals.items()}
+    profiles = language_id.learn_profiles(docs.filter(~language_id.held_out()))
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.identify(docs, profiles, keep=["doc_id"]).collect()}
+    for r in rows:
+        own = ranked(plain_grams(r["text"] or ""), language_id.DOCUMENT_SIZE)
+        if not own:
+            assert got[r["doc_id"]] == ("und", 0.0)
+            continue
+        far = {lang: sum(min(abs(p[g] - i), size) if g in p else size for i, g in enumerate(own)) for lang, p in places.items()}
+        best = min(sorted(far), key=far.get)
+        assert got[r["doc_id"]][0] == best and abs(got[r["doc_id"]][1] - (1 - far[best] / (size * len(own)))) < 1e-9

@@ -36,7 +36,7 @@ HASHES, BANDS = 128, 32
 STEP = 16  #: MinHash values that are compared at a time
 TOLERANCE = 1e-6
 BLOCK = 256  #: texts in a block
-PAIRS_AT_ONCE = 1 << 18
+PAIRS_AT_ONCE = 1 << 16  #: their signatures take 32 MB
 
 
 @cache
