@@ -10,7 +10,7 @@ import struct
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import cache_name, record_count, sha256_hex, skin_id
+from ..functions import cache_name, sha256_hex, skin_id
 from ..functions.text import is_art_bundle
 from ..operators import art, delta, digest, gates, release, state, statistics, story
 from ..sources import tables, tree
@@ -85,11 +85,6 @@ def wrapped_counts(spark: SparkSession, d: str) -> DataFrame:
     return gates.table_counts(rows.select(F.explode(files).alias("f")).select("f.*")).withColumnRenamed("table", "table_name")
 
 
-@registered("select doc_id, cast(case when json_valid(text) then null else null end as integer) as n from documents where n_chars < 200")
-def not_json_counts(spark: SparkSession, d: str) -> DataFrame:
-    return _t(spark, d, "documents").filter("n_chars < 200").select("doc_id", record_count(F.concat(F.lit("x"), "text")).alias("n"))
-
-
 # --- names and gates ---------------------------------------------------------------------------------------------------
 
 _TEXTURE = """case p_partkey % 6 when 0 then 'char_' || p_partkey || '_' || lower(p_type) || '_' || (p_size % 4) when 1 then 'char_' || p_partkey || '_' || lower(p_type) || '_2+'
