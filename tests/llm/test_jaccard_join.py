@@ -86,7 +86,9 @@ def test_pruning_keeps_what_may_reach_the_threshold():
     assert len(jaccard_join.surviving(a, b, 0.8)) == 1 and len(jaccard_join.surviving(a, c, 0.8)) == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("hub", [3, 256])
+def test_components(spark, monkeypatch, hub):
+    monkeypatch.setattr(components, "HUB", hub)
     edges = [(i, i + 1) for i in range(30)] + [(100, 101), (102, 101), (7, 7)] + [(200, x) for x in range(201, 230)]
     got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(31)}, 100: 100, 101: 100, 102: 100, **{i: 200 for i in range(200, 230)}}
