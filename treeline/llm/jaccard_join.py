@@ -1,12 +1,15 @@
 """Similarity join on word n-grams, with Bayesian pruning of candidates.
 
 Texts with the same set of n-grams are one text with copies. The distinct ones get a MinHash signature; texts that
-agree in a band of it meet. Pairs that meet are compared a few MinHash values at a time, and a pair is dropped as
+agree in a band of it meet in a bucket. Pairs that meet are compared a few MinHash values at a time, and a pair is dropped as
 soon as the posterior probability that its similarity reaches the threshold (uniform prior) is below the tolerance.
-What survives links texts to groups, and in each group all pairs are compared in the same way, survivors exactly,
-on their whole n-gram sets. No pair is ever a row: tasks return link counts and spanning edges.
+Texts with a survivor meet again in the same bucket, now with their whole n-gram sets, and survivors are compared exactly.
+A pair belongs to the bucket of the first band in which it agrees, so it is counted once. Only verified links
+make groups: what agrees by boilerplate alone chains nothing together. No pair is ever a row: tasks return link counts and
+spanning edges.
 
-Groups and band buckets of any size are cut into blocks, and a pair of blocks is one task's work.
+Buckets of any size are cut into blocks, by rows and by the n-grams in them, and a pair of blocks is one task's work. A bucket of
+many rows is told how many blocks it has by a broadcast of a bounded number of such buckets.
 
 With 32 bands of 4 values a pair of similarity 0.8 is never met with probability 5e-8, and the tolerance of
 1e-6 bounds the loss by pruning in the same way.
@@ -28,15 +31,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .components import components
+from .components import components, joined
 from .shared_store import written
 from .text_arrays import Words, shingle_hashes, slices
 
 HASHES, BANDS = 128, 32
 STEP = 16  #: MinHash values that are compared at a time
 TOLERANCE = 1e-6
-BLOCK = 256  #: texts in a block
-PAIRS_AT_ONCE = 1 << 16  #: their signatures take 32 MB
+BLOCK = 512  #: texts in a block
+WEIGHT = 1 << 20  #: n-grams in a block, of texts that are compared exactly
+TILE = 256  #: rows and columns of pairs at once; their signatures take 32 MB
 
 
 @cache
@@ -83,21 +87,23 @@ def digest_of(shingles: np.ndarray) -> bytes | None:
 
 
 def _sets(docs: DataFrame, size: int, text: str, key: str) -> DataFrame:
-    """k, digest of the n-gram set (null without words), signature."""
+    """k, digest of the n-gram set (null without words), signature, number of n-grams."""
     slim = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch["t"].to_pylist()]
             for part in slices([len(t) for t in texts]):
-                words, digests, signs = Words(texts[part]), [], []
+                words, digests, signs, weights = Words(texts[part]), [], [], []
                 for i in range(len(texts[part])):
                     own = shingle_hashes(words.of(i), size)
                     digests.append(digest_of(own))
                     signs.append(signature(own).tobytes() if len(own) else None)
-                yield pa.RecordBatch.from_arrays([batch["k"][part], pa.array(digests, pa.binary()), pa.array(signs, pa.binary())], ["k", "digest", "sig"])
+                    weights.append(len(own))
+                arrays = [batch["k"][part], pa.array(digests, pa.binary()), pa.array(signs, pa.binary()), pa.array(weights, pa.int64())]
+                yield pa.RecordBatch.from_arrays(arrays, ["k", "digest", "sig", "weight"])
 
-    return slim.mapInArrow(run, "k long, digest binary, sig binary")
+    return slim.mapInArrow(run, "k long, digest binary, sig binary, weight long")
 
 
 def _groups(batches: Iterable[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
@@ -125,13 +131,12 @@ def _groups(batches: Iterable[pa.RecordBatch], names: list[str]) -> Iterator[pa.
         yield pa.concat_tables(held).combine_chunks()
 
 
-def _blocked(rows: DataFrame, sizes: DataFrame, group: str, node: str) -> DataFrame:
-    """Deal the rows of each group to pairs of blocks (bi <= bj): every pair of rows meets in exactly one of them.
+def _blocked(rows: DataFrame, sizes: DataFrame, total: int) -> DataFrame:
+    """Deal the rows of each bucket to pairs of blocks (bi <= bj): every pair of rows meets in exactly one of them.
 
-    sizes: group, n. The join with it may be skewed on the side of the rows alone, so Spark splits a large group.
+    sizes: bucket, n (rows), nb (blocks); total: the sum of n, or more.
     """
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    dealt = rows.join(sizes, group).withColumn("nb", blocks).drop("n").withColumn("b", F.pmod(F.xxhash64(node), F.col("nb")).cast("int"))
+    dealt = joined(rows, sizes, "bucket", total).drop("n").withColumn("b", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     return dealt.withColumn("bi", F.least("b", "other")).withColumn("bj", F.greatest("b", "other"))
 
@@ -139,13 +144,23 @@ def _blocked(rows: DataFrame, sizes: DataFrame, group: str, node: str) -> DataFr
 def _pairs(b: np.ndarray, bi: int, bj: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The index pairs of one block pair, a bounded number at a time."""
     one, two = np.flatnonzero(b == bi), np.flatnonzero(b == bj)
-    rows = max(1, PAIRS_AT_ONCE // max(1, len(two)))
-    for begin in range(0, len(one), rows):
-        some = one[begin : begin + rows]
-        x, y = np.repeat(some, len(two)), np.tile(two, len(some))
-        if bi == bj:
-            x, y = x[x < y], y[x < y]
-        yield x, y
+    for i in range(0, len(one), TILE):
+        for j in range(i if bi == bj else 0, len(two), TILE):
+            some, others = one[i : i + TILE], two[j : j + TILE]
+            x, y = np.repeat(some, len(others)), np.tile(others, len(some))
+            if bi == bj and i == j:
+                x, y = x[x < y], y[x < y]
+            yield x, y
+
+
+def _kept(sigs: np.ndarray, bands: np.ndarray, x: np.ndarray, y: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs that no comparison drops and whose first common band is that of their bucket: a pair is kept in one bucket alone. bands: that of each row."""
+    keep = surviving(sigs[x], sigs[y], threshold)
+    x, y = x[keep], y[keep]
+    lanes = sigs.view(np.uint64)
+    same = lanes[x] == lanes[y]
+    home = same.any(axis=1) & (same.argmax(axis=1) == bands[x])
+    return x[home], y[home]
 
 
 def _roots(n: int, x: np.ndarray, y: np.ndarray, root: np.ndarray | None = None) -> np.ndarray:
@@ -160,71 +175,69 @@ def _roots(n: int, x: np.ndarray, y: np.ndarray, root: np.ndarray | None = None)
             return root
 
 
-def _spanning(nodes: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    moved = root != np.arange(len(nodes))
-    return nodes[moved], nodes[root[moved]]
+def _signatures(rows: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(rows["sig"].to_pylist()), np.uint16).reshape(len(rows), HASHES)
 
 
-def candidate_edges(texts: DataFrame, threshold: float) -> DataFrame:
-    """Spanning edges (u, v) of the pairs that meet in a band and survive the pruning. texts: node, sig."""
+def candidates(texts: DataFrame, threshold: float) -> DataFrame:
+    """bucket, node of the texts with a candidate there: both agree in the bucket's band, in none before, and survive the pruning. texts: node, sig."""
     width = HASHES // BANDS * 2
-    bands = F.array(*[F.xxhash64(F.lit(i), F.substring("sig", i * width + 1, width)) for i in range(BANDS)])
-    met = texts.select("node", F.explode(bands).alias("bucket"))
-    sizes = met.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    met = _blocked(met, sizes, "bucket", "node").join(texts.select("node", "sig"), "node")
+    hashed = lambda i: F.xxhash64(F.lit(i), F.substring("sig", i * width + 1, width)).bitwiseAND(F.lit(-BANDS)).bitwiseOR(F.lit(i))  # noqa: E731  the low bits tell the band
+    met = texts.select("node", F.explode(F.array(*[hashed(i) for i in range(BANDS)])).alias("bucket"))
+    sizes = met.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").withColumn("nb", F.ceil(F.col("n") / BLOCK).cast("int"))
+    met = _blocked(met, sizes, BANDS * texts.count()).join(texts.select("node", "sig"), "node")
     dealt = met.repartition("bucket", "bi", "bj").sortWithinPartitions("bucket", "bi", "bj", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        us, vs, count = [], [], 0
-        small: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def emit(reps: np.ndarray, sigs: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
-            keep = surviving(sigs[x], sigs[y], threshold)
-            u, v = _spanning(reps, _roots(len(reps), x[keep], y[keep]))
-            us.append(u)
-            vs.append(v)
-
-        def flush() -> None:
+        found: list[pa.Table] = []
+        small: list[pa.Table] = []
+        count = rows = 0
+
+        def emit(group: pa.Table, pairs: Iterable[tuple[np.ndarray, np.ndarray]]) -> int:
+            sigs, bands, some = _signatures(group), group["bucket"].to_numpy() & (BANDS - 1), np.zeros(len(group), bool)
+            for x, y in pairs:
+                x, y = _kept(sigs, bands, x, y, threshold)
+                some[x] = some[y] = True
+            found.append(group.select(["bucket", "node"]).filter(pa.array(some)))
+            return len(found[-1])
+
+        def flush() -> int:
             """Pairs of rows in small groups, all at once."""
-            if small:
-                begin = np.cumsum([0, *(len(r) for r, _ in small)])
-                xy = [np.triu_indices(len(r), 1) for r, _ in small]
-                x = np.concatenate([a + o for (a, _), o in zip(xy, begin, strict=False)])
-                y = np.concatenate([b + o for (_, b), o in zip(xy, begin, strict=False)])
-                emit(np.concatenate([r for r, _ in small]), np.concatenate([s for _, s in small]), x, y)
-                small.clear()
+            if not small:
+                return 0
+            begin = np.cumsum([0, *(len(g) for g in small)])
+            xy = [np.triu_indices(len(g), 1) for g in small]
+            x = np.concatenate([a + o for (a, _), o in zip(xy, begin, strict=False)])
+            y = np.concatenate([b + o for (_, b), o in zip(xy, begin, strict=False)])
+            n = emit(pa.concat_tables(small), [(x, y)])
+            small.clear()
+            return n
 
         for g in _groups(batches, ["bucket", "bi", "bj"]):
-            reps = g["node"].to_numpy()
-            sigs = np.frombuffer(b"".join(g["sig"].to_pylist()), np.uint16).reshape(len(g), HASHES)
             bi, bj = g["bi"][0].as_py(), g["bj"][0].as_py()
             if bi == bj and len(g) <= 16:
-                small.append((reps, sigs))
+                small.append(g)
                 count += len(g) * (len(g) - 1) // 2
                 if count > 20_000:
-                    flush()
+                    rows += flush()
                     count = 0
             else:
-                b, root = g["b"].to_numpy(), np.arange(len(reps))
-                for x, y in _pairs(b, bi, bj):
-                    keep = surviving(sigs[x], sigs[y], threshold)
-                    root = _roots(len(reps), x[keep], y[keep], root)
-                u, v = _spanning(reps, root)
-                us.append(u)
-                vs.append(v)
-            if len(us) > 500:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], ["u", "v"])
-                us.clear()
-                vs.clear()
+                rows += emit(g, _pairs(g["b"].to_numpy(), bi, bj))
+            if rows > 10_000:
+                yield from pa.concat_tables(found).to_batches()
+                found.clear()
+                rows = 0
         flush()
-        if us:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], ["u", "v"])
+        if found:
+            yield from pa.concat_tables(found).to_batches()
 
-    return dealt.mapInArrow(run, "u long, v long")
+    return dealt.mapInArrow(run, "bucket long, node long").distinct()
 
 
 def intersections(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """The sizes of the intersections of pairs of sorted distinct sets."""
+    used, where = np.unique(np.append(x, y), return_inverse=True)
+    sets, x, y = [sets[i] for i in used], where[: len(x)], where[len(x) :]
     if len(x) <= 3 * len(sets):
         return np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(x, y, strict=True)], np.int64)
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
@@ -241,26 +254,29 @@ def intersections(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.nd
     return common[x, y].astype(np.int64)
 
 
-def verified(grouped: DataFrame, texts: DataFrame, threshold: float, size: int) -> DataFrame:
-    """node, links (documents linked in this block pair), root: exact work on the groups. grouped: component, node, rep, digest, sig, copies; texts: rep, t."""
-    sizes = grouped.groupBy("component").agg(F.count("*").alias("n"))
-    dealt = _blocked(grouped, sizes, "component", "node").join(texts, "rep").drop("rep").repartition("component", "bi", "bj").sortWithinPartitions("component", "bi", "bj", "node")
+def verified(found: DataFrame, distinct: DataFrame, texts: DataFrame, threshold: float, size: int) -> DataFrame:
+    """node, links (documents linked in this block pair), root: exact work on the candidates. found: bucket, node; distinct: node, rep, digest, sig, weight, copies; texts: rep, t."""
+    some = written(found.join(distinct, "node"), "ngram-candidates")
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("w") / WEIGHT)).cast("int")
+    sizes = some.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).select("bucket", "n", blocks.alias("nb"))
+    dealt = _blocked(some, sizes, some.count()).join(texts, "rep").drop("rep", "weight").repartition("bucket", "bi", "bj").sortWithinPartitions("bucket", "bi", "bj", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in _groups(batches, ["component", "bi", "bj"]):
+        for g in _groups(batches, ["bucket", "bi", "bj"]):
             words = Words(g["t"].to_pylist())
             sets = [shingle_hashes(words.of(i), size) for i in range(len(g))]
             # A node's id may have brought other texts, or its own again.
             own = {n: i for i, (n, d) in enumerate(zip(g["node"].to_pylist(), g["digest"].to_pylist(), strict=True)) if digest_of(sets[i]) == d}
             pick = np.array(sorted(own.values()), np.int64)
             sets, g = [sets[i] for i in pick], g.take(pa.array(pick))
-            nodes, copies = g["node"].to_numpy(), g["copies"].to_numpy()
-            sigs = np.frombuffer(b"".join(g["sig"].to_pylist()), np.uint16).reshape(len(g), HASHES)
+            nodes, copies, sigs = g["node"].to_numpy(), g["copies"].to_numpy(), _signatures(g)
+            bands = g["bucket"].to_numpy() & (BANDS - 1)
             lengths = np.array([len(s) for s in sets], np.int64)
             links, root = np.zeros(len(g), np.int64), np.arange(len(g))
             for x, y in _pairs(g["b"].to_numpy(), g["bi"][0].as_py(), g["bj"][0].as_py()):
-                keep = surviving(sigs[x], sigs[y], threshold)
-                x, y = x[keep], y[keep]
+                x, y = _kept(sigs, bands, x, y, threshold)
+                if not len(x):
+                    continue
                 both = intersections(sets, x, y)
                 true = both >= threshold * (lengths[x] + lengths[y] - both) - 1e-9
                 x, y = x[true], y[true]
@@ -278,12 +294,11 @@ def _classified(docs: DataFrame, threshold: float, size: int, text: str, key: st
     sets = written(_sets(docs, size, text, key), "ngram-sets")
     some = sets.filter("digest is not null and k is not null")
     # Copies of one text leave a map task as one row. The written number tells texts apart even where ids repeat.
-    distinct = some.groupBy("digest").agg(F.min(F.struct("k", "sig")).alias("m"), F.count("*").alias("copies"))
-    distinct = written(distinct.select("digest", F.col("m.k").alias("rep"), F.col("m.sig").alias("sig"), "copies", F.monotonically_increasing_id().alias("node")), "ngram-texts")
-    groups = components(candidate_edges(distinct, threshold)).select("node", "component")
-    grouped = written(groups.join(distinct, "node").select("component", "node", "rep", "digest", "sig", "copies"), "ngram-groups")
+    distinct = some.groupBy("digest").agg(F.min(F.struct("k", "sig", "weight")).alias("m"), F.count("*").alias("copies"))
+    distinct = distinct.select("digest", F.col("m.k").alias("rep"), F.col("m.sig").alias("sig"), F.col("m.weight").alias("weight"), "copies", F.monotonically_increasing_id().alias("node"))
+    distinct = written(distinct, "ngram-texts")
     texts = docs.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("t"))
-    found = written(verified(grouped, texts, threshold, size), "ngram-links")
+    found = written(verified(candidates(distinct, threshold), distinct, texts, threshold, size), "ngram-links")
     linked = found.groupBy("node").agg(F.sum("links").alias("links"))
     placed = distinct.join(linked, "node", "left").join(components(found.select(F.col("node").alias("u"), F.col("root").alias("v"))), "node", "left")
     placed = placed.select("digest", "node", "rep", "copies", "links", F.coalesce("component", "node").alias("component"))
