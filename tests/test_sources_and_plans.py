@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from treeline.plans import artwork, cli, factory
 from treeline.sources import archives, tables, tree
+from treeline.sources.attempts import retried
+from treeline.sources.settings import load_environment, tool_versions
 from treeline.sources.registry import Registry
 from treeline.streaming import poll
 
@@ -75,6 +77,78 @@ def test_registry(spark, tmp_path):
         registry.fetch("data-1", {"big": {"size": 1, "digest": good["big"]["digest"]}}, tmp_path / "f")
 
 
+def test_uploads_are_tried_again(spark, tmp_path, monkeypatch):
+    (tmp_path / "a").write_bytes(b"x")
+    registry, calls, real = Registry(tmp_path / "r", attempts=3, wait=0), [], Registry._upload
+
+    def upload(self, tag, file):
+        calls.append(file.name)
+        if len(calls) < 3:
+            raise OSError("away")
+        real(self, tag, file)
+
+    monkeypatch.setattr(Registry, "_upload", upload)
+    assert registry.publish(spark, "data-1", [tmp_path / "a"], True) == ["a"]
+    assert len(calls) == 3 and registry.publish(spark, "data-1", [tmp_path / "a"]) == []
+    calls.clear()
+    with pytest.raises(OSError):
+        Registry(tmp_path / "r2", attempts=2, wait=0).publish(spark, "data-1", [tmp_path / "a"], True)
+    with pytest.raises(KeyError):  # not of the errors that are waited out
+        retried(lambda: {}["x"], 5, 1000.0)
+
+
+def test_environment_file_and_tool_versions(tmp_path, monkeypatch):
+    monkeypatch.setenv("TREELINE_A", "kept")
+    for name in ("TREELINE_B", "TREELINE_C"):
+        monkeypatch.delenv(name, raising=False)
+    (tmp_path / "e").write_text("# no\n\nTREELINE_A=new\n TREELINE_B = 'b=1' \nTREELINE_C=\"\"\nnothing\n")
+    import os
+
+    assert load_environment(tmp_path / "e") == ["TREELINE_B", "TREELINE_C"] and load_environment(tmp_path / "none") == []
+    assert [os.environ[f"TREELINE_{x}"] for x in "ABC"] == ["kept", "b=1", ""]
+    for name in ("TREELINE_B", "TREELINE_C"):
+        del os.environ[name]
+    found = tool_versions(["pyarrow", "no-such-package"], ["git", "no-such-program"])
+    assert set(found) == {"pyarrow", "git"} and found["git"].startswith("git version")
+
+
+def lines_in_capitals(text):
+    """A parser of the caller's own."""
+    if "broken" in text:
+        raise ValueError("broken")
+    return [{"id": 0, "prop": "", "attributes": {"content": text.upper()}}]
+
+
+def test_own_parser(spark):
+    from treeline.operators import story
+
+    scripts = spark.createDataFrame([("a", "e", "i", b"one"), ("b", "e", "i", b"broken"), ("c", "e", "i", b"\xff")], "ref string, event_id string, info string, content binary")
+    got = {r["ref"]: r for r in story.convert(scripts, parse=lines_in_capitals).collect()}
+    assert json.loads(got["a"]["story"])["storyList"][0]["attributes"]["content"] == "ONE" and got["a"]["words"] == 3
+    assert got["b"]["error"] == "ValueError: broken" and got["c"]["error"].startswith("UnicodeDecodeError")
+
+
+def test_extractor_and_excel_directory(spark, tmp_path):
+    work, calls = factory.Work(spark, tmp_path), []
+
+    def extractor(target):
+        calls.append(target)
+        if len(calls) < 3:
+            raise RuntimeError("away")
+        put(target, {k.replace("zh_CN", "cn"): v for k, v in contract().items()} | {"cn/hot_update_list.json": b'{"versionId":"v9","abInfos":[]}'})
+
+    factory.fetch(work, extractor, attempts=3, wait=0)
+    assert calls == [tmp_path / "extract"] * 3 and json.loads((tmp_path / "fetch.json").read_text())["problems"] is not None
+    with pytest.raises(ZeroDivisionError):
+        factory.fetch(work, lambda _: 1 / 0, attempts=2, wait=0)
+    put(tmp_path / "own", {"skin_table.json": b'{"charSkins":{"s#1":{"charId":"char_1_a"},"s#2":{"charId":"char_2_b"}}}', "character_table.json": b'{"char_1_a":{}}'})
+    work.excel = tmp_path / "own"
+    assert [r["skin_id"] for r in artwork.valid(work).collect()] == ["s#1"]
+    work.excel = tmp_path / "absent"
+    with pytest.raises(FileNotFoundError):
+        artwork.valid(work)
+
+
 def put(root, files):
     for name, data in files.items():
         (root / name).parent.mkdir(parents=True, exist_ok=True)

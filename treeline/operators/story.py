@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -80,19 +80,19 @@ def parse_script(text: str) -> list[dict]:
     return [{"id": i, **x} for i, x in enumerate(out)]
 
 
-def convert(scripts: DataFrame, lang: str = "zh_CN") -> DataFrame:
-    """ref, story (JSON text), words (characters of content), error. scripts: ref, event_id, info, content. A script that fails is a row with an error."""
+def convert(scripts: DataFrame, lang: str = "zh_CN", parse: Callable[[str], list[dict]] = parse_script) -> DataFrame:
+    """ref, story (JSON text), words (characters of content), error. scripts: ref, event_id, info, content. A script that ``parse`` fails on is a row with an error."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for r in batch.to_pylist():
                 try:
-                    lines = parse_script((r["content"] or b"").decode("utf-8"))
+                    lines = parse((r["content"] or b"").decode("utf-8"))
                     story = {"lang": lang, "eventid": r["event_id"], "storyInfo": r["info"] or "", "storyList": lines}
                     rows.append((r["ref"], json.dumps(story, ensure_ascii=False), sum(len(x["attributes"].get("content", "")) for x in lines), None))
-                except UnicodeDecodeError as e:
-                    rows.append((r["ref"], None, None, str(e)))
+                except Exception as e:  # noqa: BLE001  the parser is anyone's
+                    rows.append((r["ref"], None, None, f"{type(e).__name__}: {e}"))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.string()))], ["ref", "story", "words", "error"])
 
     return scripts.select("ref", "event_id", "info", F.col("content").cast("binary").alias("content")).mapInArrow(run, "ref string, story string, words long, error string")

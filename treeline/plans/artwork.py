@@ -18,7 +18,7 @@ from pyspark.storagelevel import StorageLevel
 
 from ..functions.text import cache_name
 from ..operators import art, delta, state
-from ..sources import archives, tables
+from ..sources import archives, tables, tree
 from ..sources.registry import Registry
 from .factory import ROOT, Work, images_index, images_package, images_plan, write_tree
 
@@ -47,8 +47,10 @@ def as_index(rows: DataFrame, **head: object) -> dict:
 
 
 def valid(work: Work) -> DataFrame:
-    excel = f"{ROOT}/gamedata/excel/"
-    own = work.tree("candidate")
+    """The skins that the tables name; a directory of tables that was named and isn't there is an error."""
+    if work.excel and not work.excel.is_dir():
+        raise FileNotFoundError(work.excel)
+    excel, own = ("", tree.scan(work.spark, str(work.excel))) if work.excel else (f"{ROOT}/gamedata/excel/", work.tree("candidate"))
     table = lambda name: own.filter(F.col("path") == excel + name)
     skins = tables.keyed_records(table("skin_table.json"), wrapper="charSkins").select(F.col("key").alias("skin_id"), F.get_json_object("value", "$.charId").alias("char_id"))
     return state.valid_skins(skins, tables.keyed_records(table("character_table.json")))

@@ -21,7 +21,9 @@ from pyspark.storagelevel import StorageLevel
 from ..functions.text import is_art_bundle
 from ..operators import art, delta, digest, gates, overlay, release, state, story
 from ..sources import archives, tables, tree
+from ..sources.attempts import retried
 from ..sources.registry import Registry
+from ..sources.settings import tool_versions
 from .workers import importable
 
 ROOT, CONTRACT = "zh_CN", "treeline-data/v1"
@@ -37,6 +39,9 @@ class Work:
     path: Path
     server: str = "cn"
     probes: dict[str, list[str]] = field(default_factory=dict)
+    excel: Path | None = None  #: the tables of the artwork steps, where they aren't the candidate's
+    parse: Callable[[str], list[dict]] = story.parse_script
+    tools: list[str] = field(default_factory=list)  #: packages or programs whose versions belong to a release
     held: list[DataFrame] = field(default_factory=list)
 
     def __post_init__(self) -> None:
@@ -103,8 +108,10 @@ def check(work: Work) -> tuple[dict, bool]:
     return remote, remote.get("versionId") != (tags[0]["v"] if tags else None)
 
 
-def fetch(work: Work) -> int:
-    """Look over the landed extraction; downloading it is not of this engine."""
+def fetch(work: Work, extractor: Callable[[Path], object] | None = None, attempts: int = 5, wait: float = 30.0) -> int:
+    """Look over the landed extraction. Downloading it is not of this engine; an ``extractor`` that is given fills the directory first, in some attempts."""
+    if extractor:
+        retried(lambda: extractor(work.path / "extract"), attempts, wait, Exception)
     problems = [r["problem"] for r in gates.extraction_problems(work.tree("extract"), work.server).collect()]
     work.keep("fetch", {"problems": problems})
     return 1 if problems else 0
@@ -136,7 +143,7 @@ def fetch_baseline(work: Work, clobber: bool = False) -> int:
     return 0
 
 
-def provenance() -> dict:
+def provenance(tools: list[str]) -> dict:
     """The versions that made a release."""
     import platform
     import subprocess
@@ -149,7 +156,7 @@ def provenance() -> dict:
         except (OSError, subprocess.CalledProcessError):
             return None
 
-    return {"python": platform.python_version(), "spark": pyspark.__version__, "pyarrow": pa.__version__, "commit": git("rev-parse", "HEAD"), "dirty": bool(git("status", "--porcelain"))}
+    return {"python": platform.python_version(), "spark": pyspark.__version__, "pyarrow": pa.__version__, "commit": git("rev-parse", "HEAD"), "dirty": bool(git("status", "--porcelain")), "tools": tool_versions(tools, tools)}
 
 
 def merge(work: Work) -> int:
@@ -190,7 +197,7 @@ def convert_stories(work: Work) -> int:
     chapters = story.chapters_of(source).filter("storyTxt is not null")
     events = chapters.groupBy(F.col("storyTxt").alias("ref")).agg(F.min("event_id").alias("event_id"), F.min_by("storyInfo", "event_id").alias("info"))
     scripts = todo.filter("not missing_source").select("ref").join(fixed, "ref").join(events, "ref", "left")
-    converted = story.convert(scripts).cache()
+    converted = story.convert(scripts, parse=work.parse).cache()
     bodies = converted.filter("error is null").select(F.concat(F.lit(prefix), F.col("ref"), F.lit(".json")).alias("path"), F.lit(False).alias("is_dir"), F.col("story").cast("binary").alias("content"))
     write_tree(bodies, work.path / "candidate")
     counts = {}
@@ -274,7 +281,7 @@ def package(work: Work) -> int:
         archives.write_archive(part("levels"), dist / release.REQUIRED_ASSETS[1]),
         archives.write_archive(part("excel").union(part("story").filter(F.col("path").endswith(".json"))).union(files.filter(F.col("path").isin(*[f"{ROOT}/{n}" for n in INDEX_FILES]))), dist / release.REQUIRED_ASSETS[2]),
     ]
-    manifest = {"contractVersion": CONTRACT, "source": work.record("merge").get("source", {}), "pipeline": provenance(), **{n: work.record(n) for n in ("merge", "story", "summarize", "validation")}, "assets": {a["name"]: {"size": a["size"], "sha256": a["sha256"]} for a in assets}}
+    manifest = {"contractVersion": CONTRACT, "source": work.record("merge").get("source", {}), "pipeline": provenance(work.tools), **{n: work.record(n) for n in ("merge", "story", "summarize", "validation")}, "assets": {a["name"]: {"size": a["size"], "sha256": a["sha256"]} for a in assets}}
     archives.write_json(dist / "manifest.json", manifest)
     return 0
 
@@ -286,12 +293,14 @@ def publish(work: Work, execute: bool = False) -> int:
     return 0
 
 
-def run(work: Work, force: bool = False, release_it: bool = False) -> int:
-    """The data chain. An unchanged version ends it at once, with success."""
+def run(work: Work, force: bool = False, release_it: bool = False, extractor: Callable[[Path], object] | None = None, attempts: int = 5) -> int:
+    """The data chain. An unchanged version ends it at once, with success; an extractor runs before that is known."""
+    if extractor and (code := fetch(work, extractor, attempts)):
+        return code
     _, changed = check(work)
     if not (changed or force):
         return 0
-    steps: list[Callable[[Work], int]] = [fetch_baseline, fetch, merge, convert_stories, summarize, validate, package]
+    steps: list[Callable[[Work], int]] = [fetch_baseline, *([] if extractor else [fetch]), merge, convert_stories, summarize, validate, package]
     for step in [*steps, *([lambda w: publish(w, True)] if release_it else [])]:
         if code := step(work):
             return code

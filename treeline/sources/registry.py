@@ -4,20 +4,23 @@ from __future__ import annotations
 
 import json
 import shutil
+from functools import partial
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.release import mismatched_assets, upload_order, verify_asset
 from .archives import file_sha256, write_json
+from .attempts import retried
 
 SCHEMA = "tag string, is_draft boolean, created long, assets array<struct<name:string,size:long,digest:string>>"
 ASSETS = "name string, size long, digest string"
 
 
 class Registry:
-    def __init__(self, root: str | Path):
-        self.root = Path(root)
+    def __init__(self, root: str | Path, attempts: int = 3, wait: float = 10.0):
+        """attempts, wait: of each upload that fails with an OSError (the wait grows by as much each time)."""
+        self.root, self.attempts, self.wait = Path(root), attempts, wait
 
     def _state(self, tag: str) -> dict | None:
         path = self.root / tag / "release.json"
@@ -47,9 +50,7 @@ class Registry:
             write_json(self.root / tag / "release.json", state)
         by_name = {p.name: p for p in files}
         for name in plan:
-            part = self.root / tag / f".{name}.part"
-            shutil.copyfile(by_name[name], part)
-            part.replace(self.root / tag / name)
+            retried(partial(self._upload, tag, by_name[name]), self.attempts, self.wait)
         wrong = [r["name"] for r in open_assets().collect()]
         if wrong:
             raise ValueError(f"assets of {tag} differ after upload: {wrong}")
@@ -57,6 +58,11 @@ class Registry:
             write_json(self.root / tag / "release.json", state | {"isDraft": False})
         return plan
 
+    def _upload(self, tag: str, file: Path) -> None:
+        part = self.root / tag / f".{file.name}.part"
+        shutil.copyfile(file, part)
+        part.replace(self.root / tag / file.name)
+
     def fetch(self, tag: str, manifest_assets: dict[str, dict], target: Path) -> list[Path]:
         """Copy assets after their digests have been verified."""
         out = []
