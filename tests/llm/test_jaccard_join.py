@@ -56,6 +56,23 @@ def test_large_group_of_near_copies(spark, monkeypatch, block):
     assert got == sorted(brute(rows)) and got[5][2] == 39
 
 
+def test_chain_and_blocks_by_weight(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "WEIGHT", 250)
+    monkeypatch.setattr(components, "HUB", 3)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[3 * i : 3 * i + 100]), "en", "a", 1, "k", 1, "x") for i in range(40)]
+    got = sorted(tuple(r) for r in jaccard_join.near_duplicates(frame(spark, rows)).collect())
+    assert got == sorted(brute(rows)) and {r[1] for r in got} == {0} and max(r[2] for r in got) < 10
+
+
+def test_one_id_with_many_rows(spark):
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join([*words[:i], f"c{i}", *words[i + 1 :]]) for i in range(12)]
+    rows = [(7, t, "en", "a", 1, "k", 1, "x") for t in texts * 20] + [(i, texts[i % 12], "en", "a", 1, "k", 1, "x") for i in range(100, 110)]
+    got = Counter(tuple(r) for r in jaccard_join.near_duplicates(frame(spark, rows)).collect())
+    assert got == Counter(brute(rows))
+
+
 def test_keep_one(spark):
     rows = documents()
     unique = [r for r in rows if r[0] is not None and r[0] != 4]

@@ -87,8 +87,8 @@ def digest_of(shingles: np.ndarray) -> bytes | None:
 
 
 def _sets(docs: DataFrame, size: int, text: str, key: str) -> DataFrame:
-    """k, digest of the n-gram set (null without words), signature, number of n-grams."""
-    slim = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
+    """k, hash of the text, digest of the n-gram set (null without words), signature, number of n-grams."""
+    slim = docs.select(F.col(key).cast("long").alias("k"), F.xxhash64(text).alias("h"), F.col(text).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,10 +100,10 @@ def _sets(docs: DataFrame, size: int, text: str, key: str) -> DataFrame:
                     digests.append(digest_of(own))
                     signs.append(signature(own).tobytes() if len(own) else None)
                     weights.append(len(own))
-                arrays = [batch["k"][part], pa.array(digests, pa.binary()), pa.array(signs, pa.binary()), pa.array(weights, pa.int64())]
-                yield pa.RecordBatch.from_arrays(arrays, ["k", "digest", "sig", "weight"])
+                arrays = [batch["k"][part], batch["h"][part], pa.array(digests, pa.binary()), pa.array(signs, pa.binary()), pa.array(weights, pa.int64())]
+                yield pa.RecordBatch.from_arrays(arrays, ["k", "h", "digest", "sig", "weight"])
 
-    return slim.mapInArrow(run, "k long, digest binary, sig binary, weight long")
+    return slim.mapInArrow(run, "k long, h long, digest binary, sig binary, weight long")
 
 
 def _groups(batches: Iterable[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
@@ -255,17 +255,17 @@ def intersections(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.nd
 
 
 def verified(found: DataFrame, distinct: DataFrame, texts: DataFrame, threshold: float, size: int) -> DataFrame:
-    """node, links (documents linked in this block pair), root: exact work on the candidates. found: bucket, node; distinct: node, rep, digest, sig, weight, copies; texts: rep, t."""
+    """node, links (documents linked in this block pair), root: exact work on the candidates. found: bucket, node; distinct: node, rep, h, digest, sig, weight, copies; texts: rep, h, t."""
     some = written(found.join(distinct, "node"), "ngram-candidates")
     blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("w") / WEIGHT)).cast("int")
     sizes = some.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).select("bucket", "n", blocks.alias("nb"))
-    dealt = _blocked(some, sizes, some.count()).join(texts, "rep").drop("rep", "weight").repartition("bucket", "bi", "bj").sortWithinPartitions("bucket", "bi", "bj", "node")
+    dealt = _blocked(some, sizes, some.count()).join(texts, ["rep", "h"]).drop("rep", "h", "weight").repartition("bucket", "bi", "bj").sortWithinPartitions("bucket", "bi", "bj", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in _groups(batches, ["bucket", "bi", "bj"]):
             words = Words(g["t"].to_pylist())
             sets = [shingle_hashes(words.of(i), size) for i in range(len(g))]
-            # A node's id may have brought other texts, or its own again.
+            # The text that a node's id and hash have brought may be another.
             own = {n: i for i, (n, d) in enumerate(zip(g["node"].to_pylist(), g["digest"].to_pylist(), strict=True)) if digest_of(sets[i]) == d}
             pick = np.array(sorted(own.values()), np.int64)
             sets, g = [sets[i] for i in pick], g.take(pa.array(pick))
@@ -289,15 +289,18 @@ def verified(found: DataFrame, distinct: DataFrame, texts: DataFrame, threshold:
     return dealt.mapInArrow(run, "node long, links long, root long")
 
 
-def _classified(docs: DataFrame, threshold: float, size: int, text: str, key: str) -> tuple[DataFrame, DataFrame]:
-    """k and digest of all rows; and of all distinct n-gram sets digest, node, rep (least id), class_id, leads (whether it's the one that its class keeps), n_links."""
+def _classified(docs: DataFrame, threshold: float, size: int, text: str, key: str) -> tuple[DataFrame, DataFrame, bool]:
+    """k and digest of all rows; and of all distinct n-gram sets digest, node, rep (least id), class_id, leads (whether it's the one that its class keeps), n_links; and whether each row has an id of its own."""
     sets = written(_sets(docs, size, text, key), "ngram-sets")
     some = sets.filter("digest is not null and k is not null")
     # Copies of one text leave a map task as one row. The written number tells texts apart even where ids repeat.
-    distinct = some.groupBy("digest").agg(F.min(F.struct("k", "sig", "weight")).alias("m"), F.count("*").alias("copies"))
-    distinct = distinct.select("digest", F.col("m.k").alias("rep"), F.col("m.sig").alias("sig"), F.col("m.weight").alias("weight"), "copies", F.monotonically_increasing_id().alias("node"))
+    distinct = some.groupBy("digest").agg(F.min(F.struct("k", "h", "sig", "weight")).alias("m"), F.count("*").alias("copies"))
+    distinct = distinct.select("digest", F.col("m.k").alias("rep"), F.col("m.h").alias("h"), F.col("m.sig").alias("sig"), F.col("m.weight").alias("weight"), "copies", F.monotonically_increasing_id().alias("node"))
     distinct = written(distinct, "ngram-texts")
-    texts = docs.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("t"))
+    texts = docs.select(F.col(key).cast("long").alias("rep"), F.xxhash64(text).alias("h"), F.col(text).alias("t"))
+    ids = sets.agg(F.count("*").alias("rows"), F.count("k").alias("ids"), F.countDistinct("k").alias("distinct")).first()
+    if ids["ids"] > ids["distinct"]:  # equal rows of an id leave a map task as one
+        texts = texts.groupBy("rep", "h").agg(F.first("t").alias("t"))
     found = written(verified(candidates(distinct, threshold), distinct, texts, threshold, size), "ngram-links")
     linked = found.groupBy("node").agg(F.sum("links").alias("links"))
     placed = distinct.join(linked, "node", "left").join(components(found.select(F.col("node").alias("u"), F.col("root").alias("v"))), "node", "left")
@@ -305,21 +308,21 @@ def _classified(docs: DataFrame, threshold: float, size: int, text: str, key: st
     # One row per class leaves each map task.
     leaders = placed.groupBy("component").agg(F.min(F.struct("rep", "node")).alias("lead"))
     placed = placed.join(leaders, "component")
-    return sets, placed.select("digest", "node", "rep", F.col("lead.rep").alias("class_id"), (F.col("lead.node") == F.col("node")).alias("leads"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    unique = ids["rows"] == ids["distinct"]
+    return sets, placed.select("digest", "node", "rep", F.col("lead.rep").alias("class_id"), (F.col("lead.node") == F.col("node")).alias("leads"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), unique
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per document: key, class_id (the least id it is linked to, directly or not) and n_links (documents with similarity of the threshold or more)."""
-    sets, placed = _classified(docs, threshold, size, text, key)
+    sets, placed, _ = _classified(docs, threshold, size, text, key)
     out = sets.select("k", F.when(F.col("k").isNotNull(), F.col("digest")).alias("digest")).join(placed.select("digest", "class_id", "n_links"), "digest", "left")
     return out.select(F.col("k").alias(key), F.coalesce("class_id", "k").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def keep_one(docs: DataFrame, threshold: float = 0.8, size: int = 5, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of docs, less all but one (the least id) of each class. Rows without words or id stay."""
-    sets, placed = _classified(docs, threshold, size, text, key)
-    n = sets.agg(F.count("*").alias("rows"), F.count("k").alias("ids"), F.countDistinct("k").alias("distinct")).first()
-    if n["rows"] == n["distinct"]:
+    sets, placed, unique = _classified(docs, threshold, size, text, key)
+    if unique:
         gone = sets.join(placed.filter("leads"), F.col("k") == F.col("rep"), "left_anti").filter("digest is not null").select(F.col("k").alias("__near_k"))
         return docs.join(gone, docs[key].cast("long") == gone["__near_k"], "left_anti")
     # Ids repeat or are null: rows are told apart by their n-grams, and the first of equal rows stays.
