@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from treeline.llm import token_counts, token_store
+from treeline.llm import pretokens, token_counts, token_store
 from treeline.llm.pretokens import cut
 
 from .documents import documents, frame
@@ -39,6 +39,28 @@ def test_counts_and_ids_are_those_of_the_library(texts):
     assert [x.tolist() for x in token_store._encoder(PATH).texts(texts)] == ids
 
 
+def test_hashes_that_meet_change_nothing(library, monkeypatch):
+    real = pretokens.span_hashes
+    monkeypatch.setattr(pretokens, "span_hashes", lambda *a: real(*a) % np.uint64(13))
+    texts = [r[1] for r in documents() if r[1]]
+    ids = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    counter, encoder = token_counts.Counter(PATH), token_store.Encoder(PATH)
+    for some in (slice(0, 20), slice(0, None), slice(20, None), slice(5, 9)):  # a table that is empty, then one that holds others of the same hashes
+        assert counter.texts(texts[some]).tolist() == [len(x) for x in ids[some]]
+        assert [x.tolist() for x in encoder.texts(texts[some])] == ids[some]
+
+
+@pytest.mark.parametrize("limit", ["KEPT", "POINTS"])
+def test_a_full_table_starts_again(library, monkeypatch, limit):
+    monkeypatch.setattr(token_counts if limit == "KEPT" else pretokens.Known, limit, 50)
+    texts = [r[1] for r in documents() if r[1]]
+    ids = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    counter, encoder = token_counts.Counter(PATH), token_store.Encoder(PATH)
+    for i in range(0, len(texts), 3):
+        assert counter.texts(texts[i : i + 3]).tolist() == [len(x) for x in ids[i : i + 3]]
+        assert [x.tolist() for x in encoder.texts(texts[i : i + 3])] == ids[i : i + 3]
+
+
 def test_count_tokens(spark, library):
     rows = documents()
     got = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["n_bytes"], r["n_tokens"]) for r in token_counts.count_tokens(frame(spark), PATH).collect())

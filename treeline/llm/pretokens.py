@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from .text_arrays import OTHER, SPACE, classes, code_points, span_hashes
+from .text_arrays import OTHER, SPACE, classes, code_points, same_spans, span_hashes
 
 _SHORT = [ord(c) for c in "stmd"]
 _LONG = [(ord(a), ord(b)) for a, b in ("re", "ve", "ll")]
@@ -26,13 +26,72 @@ class PreTokens:
     starts: np.ndarray
     ends: np.ndarray
     first: np.ndarray
+    _keys: np.ndarray | None = None
 
     def keys(self) -> np.ndarray:
-        return span_hashes(self.points, self.starts, self.ends)
+        if self._keys is None:
+            self._keys = span_hashes(self.points, self.starts, self.ends)
+        return self._keys
 
     def text(self, i: int) -> str:
         return self.points[self.starts[i] : self.ends[i]].tobytes().decode("utf-32-le", "surrogatepass")
 
+    def distinct(self, known: Known) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """One span of each distinct pre-token, which of them each span is, and its row in the table (-1: not in it).
+
+        Spans of equal hash are compared with the first of them, and that with the table's; one that differs counts as distinct itself.
+        """
+        keys, one, back = np.unique(self.keys(), return_index=True, return_inverse=True)
+        lead = one[back]
+        other = np.flatnonzero(~same_spans(self.points, self.starts, self.ends, self.points, self.starts[lead], self.ends[lead]))
+        back[other] = len(one) + np.arange(len(other))
+        row = known.find(keys, self, one)
+        return np.append(one, other), back, np.append(row, np.full(len(other), -1))
+
+
+class Known:
+    """Pre-tokens in order of their hashes, with their code points: one for each hash."""
+
+    POINTS = 8_000_000  #: code points beyond which the table is full
+
+    def __init__(self):
+        self.keys, self.points = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        self.begin = self.end = np.zeros(0, np.int64)
+
+    @property
+    def full(self) -> bool:
+        return len(self.points) > self.POINTS
+
+    def _at(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The row that each hash would have, and whether it has one."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return at, self.keys[at] == keys
+
+    def find(self, keys: np.ndarray, tokens: PreTokens, one: np.ndarray) -> np.ndarray:
+        """The row of each of the spans ``one`` with these hashes; -1 where the table has none that is equal."""
+        row = np.full(len(keys), -1)
+        at, have = self._at(keys)
+        have = np.flatnonzero(have)
+        same = same_spans(self.points, self.begin[at[have]], self.end[at[have]], tokens.points, tokens.starts[one[have]], tokens.ends[one[have]])
+        row[have[same]] = at[have[same]]
+        return row
+
+    def add(self, tokens: PreTokens, spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Add those of the spans whose hash the table lacks; which these are, and the order of old rows and these in the new table."""
+        keys, first = np.unique(tokens.keys()[spans], return_index=True)
+        new = first[~self._at(keys)[1]]
+        size = (tokens.ends - tokens.starts)[spans[new]]
+        begin = np.cumsum(size) - size
+        points = tokens.points[np.repeat(tokens.starts[spans[new]] - begin, size) + np.arange(size.sum())]
+        all_keys = np.append(self.keys, tokens.keys()[spans[new]])
+        order = np.argsort(all_keys)
+        start = np.append(self.begin, len(self.points) + begin)
+        self.end = np.append(self.end, len(self.points) + begin + size)[order]
+        self.keys, self.begin, self.points = all_keys[order], start[order], np.append(self.points, points)
+        return new, order
+
 
 def cut(texts: Sequence[str]) -> PreTokens:
     points, offsets = code_points(texts)

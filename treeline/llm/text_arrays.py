@@ -77,6 +77,23 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def same_spans(a: np.ndarray, a_begin: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_begin: np.ndarray, b_end: np.ndarray) -> np.ndarray:
+    """For each pair of spans, a[begin:end] and b[begin:end], whether they are equal, value by value."""
+    size = a_end - a_begin
+    same = size == b_end - b_begin
+    pick = np.flatnonzero(same & (size > 0))
+    ends = np.cumsum(size[pick])
+    cuts = [*np.searchsorted(ends, np.arange(0, ends[-1] if len(ends) else 0, BATCH_CHARS)), len(pick)]
+    for first, last in zip(cuts[:-1], cuts[1:], strict=True):
+        some = pick[first:last]
+        n = size[some]
+        shift = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        differ = a[np.repeat(a_begin[some], n) + shift] != b[np.repeat(b_begin[some], n) + shift]
+        if differ.any():
+            same[some[np.repeat(np.arange(len(some)), n)[differ]]] = False
+    return same
+
+
 def slices(lengths: Sequence[int], limit: int = BATCH_CHARS) -> Iterator[slice]:
     """Cut a list into runs of about ``limit`` characters; a longer text makes a run alone."""
     begin = total = 0

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .pretokens import cut
+from .pretokens import Known, cut
 from .text_arrays import slices
 
 KEPT = 1_000_000  #: pre-tokens that a worker remembers
@@ -104,27 +104,22 @@ class BytePairs:
 
 
 class Counter:
-    """Counts of pre-tokens by key, in a sorted table that is bounded."""
+    """Counts of pre-tokens, in a table that is bounded."""
 
     def __init__(self, path: str):
         self.model = BytePairs(path)
-        self.keys, self.values = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.known, self.values = Known(), np.zeros(0, np.int64)
 
     def of(self, tokens) -> np.ndarray:
-        keys, one, back = np.unique(tokens.keys(), return_index=True, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
-        known = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
-        counts = np.zeros(len(keys), np.int64)
-        counts[known] = self.values[at[known]]
-        new = np.flatnonzero(~known)
+        one, back, row = tokens.distinct(self.known)
+        counts = np.append(self.values, 0)[row]
+        new = np.flatnonzero(row < 0)
         if len(new):
             counts[new] = self.model.counts([tokens.text(i).encode("utf-8", "replace") for i in one[new]])
-            if len(self.keys) + len(new) > KEPT:
-                self.keys, self.values = keys, counts
-            else:
-                self.keys, self.values = np.append(self.keys, keys[new]), np.append(self.values, counts[new])
-                order = np.argsort(self.keys)
-                self.keys, self.values = self.keys[order], self.values[order]
+            if len(self.values) + len(new) > KEPT or self.known.full:
+                self.known, self.values = Known(), np.zeros(0, np.int64)
+            added, order = self.known.add(tokens, one[new])
+            self.values = np.append(self.values, counts[new[added]])[order]
         return counts[back]
 
     def texts(self, texts: list[str]) -> np.ndarray:

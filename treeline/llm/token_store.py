@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .pretokens import cut
+from .pretokens import Known, cut
 from .shared_store import new_folder, open_file, put_file, written
 from .text_arrays import slices
 
@@ -177,7 +177,7 @@ class Encoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.keys, self.begin, self.size, self.flat = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.known, self.begin, self.size, self.flat = Known(), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def texts(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
@@ -196,27 +196,24 @@ class Encoder:
         tokens = cut(texts)
         if not len(tokens.starts):
             return [np.zeros(0, np.uint32)] * len(texts)
-        keys, one, back = np.unique(tokens.keys(), return_index=True, return_inverse=True)
-        if len(self.flat) > KEPT_IDS:
+        if len(self.flat) > KEPT_IDS or self.known.full:
             self._reset()
-        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
-        known = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
-        new = np.flatnonzero(~known)
+        one, back, row = tokens.distinct(self.known)
+        starts, count, flat = np.append(self.begin, 0)[row], np.append(self.size, 0)[row], self.flat
+        new = np.flatnonzero(row < 0)
         if len(new):
             found = []
             for first in range(0, len(new), ENCODED_AT_ONCE):
                 some = [tokens.text(i) for i in one[new[first : first + ENCODED_AT_ONCE]]]
                 found += [np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(some, add_special_tokens=False)]
-            size = np.array([len(x) for x in found], np.int64)
-            begin = len(self.flat) + np.cumsum(size) - size
-            self.flat = np.concatenate([self.flat, *found])
-            all_keys = np.append(self.keys, keys[new])
-            order = np.argsort(all_keys)
-            self.keys, self.begin, self.size = all_keys[order], np.append(self.begin, begin)[order], np.append(self.size, size)[order]
-            at = np.searchsorted(self.keys, keys)
-        begin, size = self.begin[at][back], self.size[at][back]
+            count[new] = [len(x) for x in found]
+            starts[new] = len(flat) + np.cumsum(count[new]) - count[new]
+            self.flat = flat = np.concatenate([flat, *found])
+            added, order = self.known.add(tokens, one[new])
+            self.begin, self.size = np.append(self.begin, starts[new[added]])[order], np.append(self.size, count[new[added]])[order]
+        begin, size = starts[back], count[back]
         ends = np.cumsum(size)
-        ids = self.flat[np.arange(ends[-1]) + np.repeat(begin - (ends - size), size)]
+        ids = flat[np.arange(ends[-1]) + np.repeat(begin - (ends - size), size)]
         cuts = np.append(0, ends)[tokens.first]
         return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
