@@ -43,6 +43,35 @@ def test_against_brute_force(spark, monkeypatch, settings):
     assert got == brute(rows)
 
 
+def test_hashes_that_meet_change_nothing(monkeypatch):
+    real = suffix_dedup.Stretches._hashes
+    monkeypatch.setattr(suffix_dedup.Stretches, "_hashes", staticmethod(lambda *a: real(*a) % np.uint64(3)))
+    chunk = suffix_dedup.Chunk(np.array([5, 6, 7]), np.ones(3, bool), np.array([0, 60, 120, 180]), np.frombuffer((b"q" * 30 + b"r" * 30) + (b"s" * 60) + (b"q" * 30 + b"r" * 30), np.uint8))
+    begin, size = np.array([0, 60, 120]), np.full(3, 60)
+    assert suffix_dedup._unlike_first(chunk.data, begin, begin + size, np.array([True, False, False])).tolist() == [False, True, True]
+    # All stretches in one group of one index, with equal hashes for a third of them.
+    windows = size - suffix_dedup.LENGTH + 1
+    least = suffix_dedup._indexed(np.zeros(3, np.int64), windows, chunk.ids, chunk.data)
+    assert least.tolist() == [5] * 11 + [6] * 11 + [5] * 11
+    text = {r[0]: (r[1] or "").encode() for r in documents()}
+    ids = np.array(sorted(k for k in text if k is not None))
+    body = [text[i] for i in ids]
+    whole = suffix_dedup.Chunk(ids, np.ones(len(ids), bool), np.append(0, np.cumsum([len(b) for b in body])), np.frombuffer(b"".join(body), np.uint8))
+    sent = suffix_dedup.Sent(whole, 1)
+    have = suffix_dedup.Stretches(whole, sent, np.where(sent.several, suffix_dedup.SHARED, suffix_dedup.ALONE), 1)
+    data = suffix_dedup._bytes_of(whole.data, have.begin, have.windows + suffix_dedup.LENGTH - 1)
+    least = suffix_dedup._indexed(have.number, have.windows, have.least, data)
+    origin = np.cumsum(have.windows) - have.windows
+    first = {}
+    for i, b in zip(ids, body, strict=True):
+        for s in range(len(b) - suffix_dedup.LENGTH + 1):
+            first.setdefault(b[s : s + suffix_dedup.LENGTH], int(i))
+    for place, which in zip(have.place, have.which, strict=True):
+        for s in range(have.windows[which]):
+            window = whole.data[place + s : place + s + suffix_dedup.LENGTH].tobytes()
+            assert least[origin[which] + s] == first[window]
+
+
 def test_no_documents(spark):
     assert suffix_dedup.remove_repeats(frame(spark, [])).count() == 0
 

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from .run_length_index import RunLengthIndex
 from .shared_store import new_folder, open_file, put_file, written
-from .text_arrays import BATCH_CHARS, _power_tables, mixed, slices, span_hashes
+from .text_arrays import BATCH_CHARS, _power_tables, mixed, same_spans, slices, span_hashes
 
 LENGTH, GRAM = 50, 12
 SIDE = (LENGTH - GRAM) // 2
@@ -186,6 +186,7 @@ class Stretches:
         order = np.lexsort((own, part << 32 | number.astype(np.int64)))
         part, number, own = part[order], number[order], own[order]
         new = np.append(True, (part[1:] != part[:-1]) | (number[1:] != number[:-1]) | (own[1:] != own[:-1]))[: len(part)]
+        new |= _unlike_first(chunk.data, begin[order], begin[order] + windows[order] + LENGTH - 1, new)
         self.place, self.doc, self.which = begin[order], doc[order], np.cumsum(new) - 1
         first = np.flatnonzero(new)
         self.part, self.number, self.begin, self.windows = part[first], number[first], begin[order][first], windows[order][first]
@@ -210,6 +211,22 @@ def _bytes_of(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarr
     return data[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())]
 
 
+def _unlike_first(data: np.ndarray, begin: np.ndarray, end: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Which stretches differ, byte for byte, from the first of their group; ``new`` marks where groups begin.
+
+    Where one does, its hash has met another's: it and all after it in the group stand alone.
+    """
+    first = np.flatnonzero(new)
+    lead = first[np.cumsum(new) - 1]
+    out = np.zeros(len(new), bool)
+    later = np.flatnonzero(~new)
+    out[later] = ~same_spans(data, begin[later], end[later], data, begin[lead[later]], end[lead[later]])
+    for a in np.unique(lead[out]):  # hardly ever any
+        b = first[np.searchsorted(first, a, "right")] if a < first[-1] else len(new)
+        out[a + 1 : b] |= np.maximum.accumulate(out[a + 1 : b])
+    return out
+
+
 def _indexed(number: np.ndarray, windows: np.ndarray, least: np.ndarray, data: np.ndarray) -> np.ndarray:
     """For each window of all stretches, in order, the least document id that has it."""
     size = windows + LENGTH - 1
@@ -219,6 +236,7 @@ def _indexed(number: np.ndarray, windows: np.ndarray, least: np.ndarray, data: n
     own = Stretches._hashes(data, begin, windows)
     order = np.lexsort((own, number))
     new = np.append(True, (number[order][1:] != number[order][:-1]) | (own[order][1:] != own[order][:-1]))[: len(order)]
+    new |= _unlike_first(data, begin[order], begin[order] + size[order], new)
     lead = np.flatnonzero(new)
     text, label, which = order[lead], np.minimum.reduceat(least[order], lead), np.empty(len(order), np.int64)
     which[order] = np.cumsum(new) - 1
