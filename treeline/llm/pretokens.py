@@ -43,7 +43,13 @@ class PreTokens:
         """
         keys, one, back = np.unique(self.keys(), return_index=True, return_inverse=True)
         lead = one[back]
-        other = np.flatnonzero(~same_spans(self.points, self.starts, self.ends, self.points, self.starts[lead], self.ends[lead]))
+        size = self.ends - self.starts
+        other = size != size[lead]
+        shift = np.where(other, 0, self.starts[lead] - self.starts).astype(np.int32)
+        # The spans lie end to end and cover all points.
+        differ = np.flatnonzero(self.points != self.points.take(np.arange(len(self.points), dtype=np.int32) + np.repeat(shift, size)))
+        other[np.searchsorted(self.starts, differ, "right") - 1] = True
+        other = np.flatnonzero(other)
         back[other] = len(one) + np.arange(len(other))
         row = known.find(keys, self, one)
         return np.append(one, other), back, np.append(row, np.full(len(other), -1))
