@@ -1,3 +1,6 @@
+import json
+import random
+import time
 import zlib
 
 import numpy as np
@@ -9,7 +12,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from treeline.llm import pretokens, token_counts, token_store
-from treeline.llm.pretokens import cut
+from treeline.llm.pretokens import cut, split
 
 from .documents import documents, frame
 
@@ -29,6 +32,19 @@ def test_pretokens_are_those_of_the_pattern(texts):
         assert [found.text(j) for j in range(found.first[i], found.first[i + 1])] == pattern.findall(t)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="aé'strevlmd  \n\t1²!.\u3000\x1c🙂𝐀𝟏", max_size=30), st.integers(1, 9))
+def test_pretokens_of_a_text_in_pieces_are_those_of_the_pattern(text, limit):
+    assert [x for found in split(text, limit) for x in found] == regex.findall(public_tokenizers.PATTERN, text)
+
+
+def test_every_code_point_is_in_the_same_class_alone_and_in_arrays():
+    text = "".join(f"{chr(i)}a1.{chr(i)} {chr(i)}" for i in range(0x110000) if not 0xD800 <= i < 0xE000)
+    for some in (text[: 7 * 0x80], text[: 7 * 0xF800], text):
+        found = cut([some])
+        assert [x for part in split(some) for x in part] == [some[a:b] for a, b in zip(found.starts.tolist(), found.ends.tolist(), strict=True)]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(max_size=60), max_size=4))
 def test_counts_and_ids_are_those_of_the_library(texts):
@@ -95,3 +111,40 @@ def test_store_lookup(spark, library, tmp_path):
     assert [token_store.id_of(k) for k, _ in reader.scan()] == sorted(docs)
     with pytest.raises(ValueError):
         writer.add(token_store.key_of(-9999), docs[0])
+
+
+def test_encoding_costs_little_beside_the_library(library):
+    rng = random.Random(3)
+    syllables = [a + b + c for a in "bdfglmnprst" for b in "aeiou" for c in "nrstl"]
+    often = ["".join(rng.choices(syllables, k=2)) for _ in range(2000)]
+    text = [" ".join("".join(rng.choices(syllables, k=4)) if rng.random() < 0.09 else rng.choice(often) for _ in range(400)) for _ in range(500)]
+    token_store.Encoder(PATH).texts(text[:1])
+    took = {"own": [], "library": []}
+    for _ in range(3):
+        encoder = token_store.Encoder(PATH)
+        for name, f in (("own", encoder.texts), ("library", lambda x: [library.encode(t, add_special_tokens=False).ids for t in x])):
+            start = time.process_time()
+            f(text)
+            took[name].append(time.process_time() - start)
+    assert min(took["own"]) < 0.33 * min(took["library"]), took
+
+
+def test_the_table_is_bounded_and_keeps_what_recurs(monkeypatch):
+    monkeypatch.setattr(token_store.KnownIds, "KEPT", 10)
+    encoder = token_store.Encoder(PATH)
+    asked, real = [], encoder.known.tokenize
+    encoder.known.tokenize = lambda t: asked.append(t) or real(t)
+    for i in range(100):
+        encoder.texts([f"again x{'y' * i}", "z" * 500])
+        assert len(encoder.known) <= 10 and len(encoder.known.older) <= 10
+    assert asked.count("again") == 1 and asked.count("z" * 500) == 100  # one too long for the table
+
+
+@pytest.mark.parametrize("change", [{"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}}, {"truncation": {"direction": "Right", "max_length": 3, "strategy": "LongestFirst", "stride": 0}}])
+def test_other_vocabularies(tmp_path, change):
+    with open(PATH, encoding="utf-8") as f:
+        (tmp_path / "v.json").write_text(json.dumps(json.load(f) | change), encoding="utf-8")
+    own = Tokenizer.from_file(str(tmp_path / "v.json"))
+    own.no_truncation()
+    texts = ["one two  three four's", "x <|endoftext|> of a text", ""]
+    assert [x.tolist() for x in token_store.Encoder(str(tmp_path / "v.json")).texts(texts)] == [own.encode(t, add_special_tokens=False).ids for t in texts]

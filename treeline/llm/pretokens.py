@@ -1,18 +1,21 @@
-"""Cut texts into the pre-tokens of byte-level BPE vocabularies, a batch at a time.
+"""Cut texts into the pre-tokens of byte-level BPE vocabularies.
 
 The cut is that of the public pattern
-``'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+``, worked out from
-the classes of neighbouring characters instead of by a regular expression.
+``'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+``. ``cut`` works it out
+from the classes of neighbouring characters, for a batch as arrays; ``split`` gives the strings of one
+text by that pattern, with the classes written out as ranges.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 
-from .text_arrays import OTHER, SPACE, classes, code_points, same_spans, span_hashes
+from .text_arrays import BATCH_CHARS, LETTER, NUMBER, OTHER, SPACE, classes, code_points, same_spans, span_hashes
 
 _SHORT = [ord(c) for c in "stmd"]
 _LONG = [(ord(a), ord(b)) for a, b in ("re", "ve", "ll")]
@@ -140,3 +143,37 @@ def cut(texts: Sequence[str]) -> PreTokens:
     starts = np.flatnonzero(edge)
     ends = np.append(starts[1:], n)
     return PreTokens(points, starts, ends, np.searchsorted(starts, offsets))
+
+
+def _ranges(kind: int, top: int) -> str:
+    """The code points of a class below ``top``, as they stand in brackets."""
+    inside = np.zeros(top + 2, np.int8)
+    inside[1:-1] = classes()[:top] == kind
+    edges = np.flatnonzero(np.diff(inside)).tolist()
+    return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[::2], edges[1::2], strict=True))
+
+
+@cache
+def _pattern(top: int) -> re.Pattern[str]:
+    """The pattern for texts whose code points are all below ``top``: the fewer ranges, the faster."""
+    letter, number, space = _ranges(LETTER, top), _ranges(NUMBER, top), _ranges(SPACE, top)
+    return re.compile(f" ?[{letter}]+| ?[{number}]+|'(?:[stmd]|re|ve|ll)| ?[^{letter}{number}{space}]+|[{space}]+(?![^{space}])|[{space}]+")
+
+
+_beyond = re.compile("[\U00010000-\U0010ffff]")
+
+
+def split(text: str, limit: int = BATCH_CHARS) -> Iterator[list[str]]:
+    """The pre-tokens of a text in order, in lists of about ``limit`` characters; a longer pre-token makes a longer list."""
+    find = _pattern(0x80 if text.isascii() else 0x110000 if _beyond.search(text) else 0x10000).findall
+    at, size = 0, limit
+    while len(text) - at > size:
+        found = find(text, at, at + size)
+        if len(found) < 3:
+            size *= 2
+            continue
+        # What follows may change the last two: it lengthens a run, or makes "'r" one with the "e" after it.
+        at += size - len(found.pop()) - len(found.pop())
+        size = limit
+        yield found
+    yield find(text, at)

@@ -15,9 +15,11 @@ are all kept, in the order of their texts. An empty table gives no rows.
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 from bisect import bisect_left
+from codecs import charmap_decode
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -30,16 +32,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .pretokens import Known, cut
+from .pretokens import split
 from .shared_store import new_folder, open_file, put_file, written
 from .text_arrays import slices
+from .token_counts import byte_letters
 
 MAGIC = b"TLSST001"
 FOOTER = struct.Struct("<8sQQQQQQQ")  # magic; index offset, length; filter offset, length; rows; tokens; width
 BLOCK_BYTES = 64 << 10
 FILTER_BITS, FILTER_HASHES = 10, 7
-KEPT_IDS = 1_500_000  #: token ids of pre-tokens that a worker remembers
-ENCODED_AT_ONCE = 4_096  #: pre-tokens whose encodings the library holds at once
 MANIFEST = "shard int, path string, n_docs long, n_tokens long"
 
 
@@ -89,7 +90,7 @@ class ShardWriter:
         if self.rows and key <= self.keys[-1]:
             raise ValueError("keys must ascend")
         shared = next((i for i, (x, y) in enumerate(zip(key, self.last)) if x != y), min(len(key), len(self.last)))
-        value = ids.astype("<u2" if self.width == 2 else "<u4").tobytes()
+        value = ids.astype("<u2" if self.width == 2 else "<u4", copy=False).tobytes()
         self.block += _varint(shared) + _varint(len(key) - shared) + _varint(len(value)) + key[shared:] + value
         self.last = key
         self.keys.append(key)
@@ -164,58 +165,57 @@ class ShardReader:
         return next((v for k, v in self._block(i) if k == key), None) if i < len(self.blocks) else None
 
 
+class KnownIds(dict):
+    """The ids of each pre-token as bytes, by the library's model where the table lacks it.
+
+    The table is bounded: when it is full, it becomes the older of two, and what is met there again moves to the new one.
+    """
+
+    KEPT = 400_000  #: pre-tokens in each of the two tables
+    LONGEST = 64  #: characters of those that are kept
+
+    def __init__(self, model, width: int):
+        super().__init__()
+        self.tokenize, self.code, self.letters, self.older = model.tokenize, "H" if width == 2 else "I", "".join(byte_letters()), {}
+
+    def __missing__(self, token: str) -> bytes:
+        found = self.older.get(token)
+        if found is None:
+            ids = [t.id for t in self.tokenize(charmap_decode(token.encode(), "strict", self.letters)[0])]
+            found = struct.pack(f"<{len(ids)}{self.code}", *ids)
+        if len(token) <= self.LONGEST:
+            if len(self) >= self.KEPT:
+                self.older = dict(self)
+                self.clear()
+            self[token] = found
+        return found
+
+
 class Encoder:
-    """Ids of whole texts, by the tokenizers library. It encodes each distinct pre-token once; a bounded table keeps its ids."""
+    """Ids of whole texts, by the tokenizers library. Its model encodes each distinct pre-token once; a bounded table keeps the ids."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.plain = isinstance(self.library.pre_tokenizer, pre_tokenizers.ByteLevel) and self.library.normalizer is None
+        self.library.no_truncation()
+        self.library.no_padding()
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        cuts = spec.get("pre_tokenizer") or {}
+        self.plain = cuts.get("type") == "ByteLevel" and cuts.get("use_regex", True) and not cuts["add_prefix_space"] and not spec.get("normalizer")
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
-        self._reset()
+        self.kind = f"<u{self.width}"
+        self.known = KnownIds(self.library.model, self.width)
 
-    def _reset(self) -> None:
-        self.known, self.begin, self.size, self.flat = Known(), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+    def _bytes(self, text: str) -> bytes:
+        if not self.plain or any(s in text for s in self.specials):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        return b"".join([b"".join(map(self.known.__getitem__, found)) for found in split(text)])
 
     def texts(self, texts: list[str]) -> list[np.ndarray]:
-        out: list[np.ndarray | None] = [None] * len(texts)
-        usual = []
-        for i, t in enumerate(texts):
-            if not self.plain or any(s in t for s in self.specials):
-                out[i] = np.array(self.library.encode(t, add_special_tokens=False).ids, np.uint32)
-            else:
-                usual.append(i)
-        for part in slices([len(texts[i]) for i in usual]):
-            for i, ids in zip(usual[part], self._batch([texts[i] for i in usual[part]]), strict=True):
-                out[i] = ids
-        return out
-
-    def _batch(self, texts: list[str]) -> list[np.ndarray]:
-        tokens = cut(texts)
-        if not len(tokens.starts):
-            return [np.zeros(0, np.uint32)] * len(texts)
-        if len(self.flat) > KEPT_IDS or self.known.full:
-            self._reset()
-        one, back, row = tokens.distinct(self.known)
-        starts, count, flat = np.append(self.begin, 0)[row], np.append(self.size, 0)[row], self.flat
-        new = np.flatnonzero(row < 0)
-        if len(new):
-            found = []
-            for first in range(0, len(new), ENCODED_AT_ONCE):
-                some = [tokens.text(i) for i in one[new[first : first + ENCODED_AT_ONCE]]]
-                found += [np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(some, add_special_tokens=False)]
-            count[new] = [len(x) for x in found]
-            starts[new] = len(flat) + np.cumsum(count[new]) - count[new]
-            self.flat = flat = np.concatenate([flat, *found])
-            added, order = self.known.add(tokens, one[new])
-            self.begin, self.size = np.append(self.begin, starts[new[added]])[order], np.append(self.size, count[new[added]])[order]
-        begin, size = starts[back], count[back]
-        ends = np.cumsum(size)
-        ids = flat[np.arange(ends[-1]) + np.repeat(begin - (ends - size), size)]
-        cuts = np.append(0, ends)[tokens.first]
-        return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        return [np.frombuffer(self._bytes(t), self.kind) for t in texts]
 
 
 @lru_cache(1)
@@ -234,7 +234,7 @@ def write_shards(docs: DataFrame, vocabulary: str, end_id: int | None = 2, text:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shard = _encoder(vocabulary), TaskContext.get().partitionId()
-        writer, tail = ShardWriter(encoder.width), [] if end_id is None else [end_id]
+        writer, tail = ShardWriter(encoder.width), np.array([] if end_id is None else [end_id], encoder.kind)
 
         def chunks() -> Iterator[bytes]:
             last, nth = object(), 0
@@ -242,7 +242,7 @@ def write_shards(docs: DataFrame, vocabulary: str, end_id: int | None = 2, text:
                 for part in slices(pc.binary_length(batch["t"]).to_pylist()):
                     for k, ids in zip(batch["k"][part].to_pylist(), encoder.texts(batch["t"][part].to_pylist()), strict=True):
                         last, nth = k, nth + 1 if k == last else 0
-                        yield writer.add(key_of(k, nth), np.append(ids, np.array(tail, np.uint32)))
+                        yield writer.add(key_of(k, nth), np.append(ids, tail))
             yield writer.end()
 
         path = put_file(folder, f"shard-{shard:06d}.sst", chunks())
