@@ -166,26 +166,20 @@ class ShardReader:
 
 
 class KnownIds(dict):
-    """The ids of each pre-token as bytes, by the library's model where the table lacks it.
+    """The ids of each pre-token as bytes, by the library's model where the table lacks it; a full table starts again."""
 
-    The table is bounded: when it is full, it becomes the older of two, and what is met there again moves to the new one.
-    """
-
-    KEPT = 400_000  #: pre-tokens in each of the two tables
-    LONGEST = 64  #: characters of those that are kept
+    KEPT = 800_000  #: pre-tokens that a worker remembers
+    LONGEST = 64  #: characters of those that it remembers
 
     def __init__(self, model, width: int):
         super().__init__()
-        self.tokenize, self.code, self.letters, self.older = model.tokenize, "H" if width == 2 else "I", "".join(byte_letters()), {}
+        self.tokenize, self.code, self.letters = model.tokenize, "H" if width == 2 else "I", "".join(byte_letters())
 
     def __missing__(self, token: str) -> bytes:
-        found = self.older.get(token)
-        if found is None:
-            ids = [t.id for t in self.tokenize(charmap_decode(token.encode(), "strict", self.letters)[0])]
-            found = struct.pack(f"<{len(ids)}{self.code}", *ids)
+        ids = [t.id for t in self.tokenize(charmap_decode(token.encode(), "strict", self.letters)[0])]
+        found = struct.pack(f"<{len(ids)}{self.code}", *ids)
         if len(token) <= self.LONGEST:
             if len(self) >= self.KEPT:
-                self.older = dict(self)
                 self.clear()
             self[token] = found
         return found
