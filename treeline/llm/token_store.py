@@ -168,7 +168,7 @@ class ShardReader:
 class KnownIds(dict):
     """The ids of each pre-token as bytes, by the library's model where the table lacks it; a full table starts again."""
 
-    KEPT = 800_000  #: pre-tokens that a worker remembers
+    KEPT = 500_000  #: pre-tokens that a worker remembers
     LONGEST = 64  #: characters of those that it remembers
 
     def __init__(self, model, width: int):
